@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, shards, topk, urls
-from .common import table
+from . import bpe, chat, decontaminate, shards, simhash, substrings, topk, urls
+from .common import cut, table
+from .oracles import ORACLES as ORACLES
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +55,27 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, ["net/", "example.com/de/"], ["example.net/en/", "org/fr/"]).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op4_bpe, op6_shards, op7_urls)}
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
-ORACLES = {}
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(cut(simhash.fingerprints(table(spark, sf_dir, "documents"))))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.col("n_hit").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_substrings, op4_bpe, op6_shards, op7_urls, op8_simhash, op10_decontaminate)}
