@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, shards, simhash, substrings, topk, urls
+from . import bpe, chat, decontaminate, quality, shards, simhash, substrings, topk, toxicity, urls
 from .common import cut, table
 from .oracles import ORACLES as ORACLES
 
@@ -78,4 +78,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_substrings, op4_bpe, op6_shards, op7_urls, op8_simhash, op10_decontaminate)}
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return rows.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return rows.select("doc_id", "evidence", "prior", "quality", (F.col("quality") >= 0.4).alias("keep"))
+
+
+_ALL = (op1_topk, op2_chat, op3_substrings, op4_bpe, op5_toxicity, op6_shards, op7_urls, op8_simhash, op9_quality, op10_decontaminate)
+QUERIES = {f.__name__: f for f in _ALL}

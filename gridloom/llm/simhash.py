@@ -159,7 +159,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_groups(prints: DataFrame) -> DataFrame:
-    """Adds ``component_id`` to rows of ``doc_id, fp``: the least doc_id that chains of links reach, its own included.
+    """Adds ``component`` and ``component_id`` to rows of ``doc_id, fp``: the least fingerprint and the least doc_id that
+    chains of links reach, its own included.
 
     Equal fingerprints are one node. Each node emits its variants; a shuffle on them brings candidates together, sorted,
     where they are verified; the links' components are found in rounds that keep everything distributed. A null id is
@@ -170,5 +171,5 @@ def near_groups(prints: DataFrame) -> DataFrame:
     found = components(cut(dealt.mapInArrow(_meet, "u long, v long")))
     rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "component").select("fp", "component_id")
+    named = rooted.join(least, "component").select("fp", "component", "component_id")
     return prints.join(named, "fp")
