@@ -23,19 +23,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """Runs of digits, ASCII letters (lower-cased) and characters beyond ASCII; none for null."""
-    split = F.split(lower_ascii(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    return F.array_remove(split, "")
+    t = F.coalesce(text, F.lit(""))
+    lower = F.when(F.octet_length(t) == F.length(t), F.lower(t)).otherwise(lower_ascii(t))  # the first is the faster
+    return F.array_remove(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+
+
+def above_place(h: Column, i: Column) -> Column:
+    return h.bitwiseAND(F.lit(-(1 << PLACE))).bitwiseOR(i.cast("long"))
+
+
+def with_later(a: Column, shift: int, f: Callable[[Column, Column], Column]) -> Column:
+    """f of each element and the one ``shift`` later; the last ``shift`` results are of no use."""
+    return let(a, lambda x: F.zip_with(x, F.slice(x, F.lit(shift + 1), F.size(x)), f))
 
 
 def grams(hashes: Column, n: int) -> Column:
     """The hash of each run of n words, above its place; only for texts of n words or more."""
-    place = lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(n)), F.lit(n)).bitwiseAND(F.lit(-(1 << PLACE))).bitwiseOR(i.cast("long"))
+    place = lambda i: above_place(F.xxhash64(F.slice(hashes, i + 1, F.lit(n)), F.lit(n)), i)
     return F.transform(F.sequence(F.lit(0), F.size(hashes) - n), place)
 
 
 def kept_grams(hashes: Column) -> Column:
-    """For each window, the least gram in it (ties: the first); only for texts of WINDOW words or more."""
-    return let(grams(hashes, GRAM), lambda g: F.transform(F.sequence(F.lit(0), F.size(g) - SPAN), lambda s: F.array_min(F.slice(g, s + 1, F.lit(SPAN)))))
+    """For each window, the least GRAM-gram in it (ties: the first), its hash above its place; only for texts of WINDOW
+    words or more. Hashes of 2, 4 and 7 words, then minima of 2, 4 and 7 places, come from pairs of shorter ones."""
+    g = hashes
+    for shift in (1, 2, GRAM - 4):
+        g = with_later(g, shift, lambda x, y: F.xxhash64(x, y))
+    g = F.transform(let(g, lambda x: F.slice(x, F.lit(1), F.size(x) - (GRAM - 1))), above_place)
+    for shift in (1, 2, SPAN - 4):
+        g = with_later(g, shift, lambda x, y: F.least(x, y))
+    return let(g, lambda x: F.slice(x, F.lit(1), F.size(x) - (SPAN - 1)))
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
