@@ -45,12 +45,13 @@ def reconstruct(events: DataFrame) -> DataFrame:
     e = e.withColumns(
         {
             "reset": F.max(F.when(F.col("kind") != DELTA, order)).over(turn),
+            "by": F.max(F.when(F.col("role").isNotNull(), F.struct("seq", "role"))).over(turn),
             "dropped": F.max(F.when(F.col("kind") == REGENERATE, F.col("seq"))).over(earlier),
         }
     )
     live = e.filter((F.col("reset").isNull() | (order >= F.col("reset"))) & (F.col("dropped").isNull() | (F.col("seq") > F.col("dropped"))))
     parts = F.sort_array(F.collect_list(F.struct("seq", "text")))
-    folded = live.groupBy("conv_id", "at").agg(parts.alias("parts"), F.max(F.when(F.col("role").isNotNull(), F.struct("seq", "role"))).alias("by"))
+    folded = live.groupBy("conv_id", "at").agg(parts.alias("parts"), F.max("by").alias("by"))
     return folded.select(
         "conv_id",
         F.when(F.col("at") != -(2**62), F.col("at")).alias("turn"),

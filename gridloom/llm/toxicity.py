@@ -102,8 +102,9 @@ class Model:
 
 
 def summary(p: np.ndarray) -> np.ndarray:
-    """What the document score is calibrated on: how many tokens are expected to be toxic, what share, and the surest."""
-    total = float(p.sum())
+    """What the document score is calibrated on: how many tokens are expected to be toxic, what share, and the surest.
+    Marginals under a fifth are left out of the sum, or a long text would gather a toxic token from nothing."""
+    total = float(p[p >= 0.2].sum())
     return np.array([1.0, np.log1p(total), min(total, 3.0), total / max(20, len(p)) * 10, float(p.max(initial=0))])
 
 
