@@ -37,7 +37,7 @@ def default_levels(pressure: list | None, model: list | None) -> tuple[list | No
 def era5_plan(spark: SparkSession, years: list[int], today: dt.date, pressure: list | None = None, model: list | None = None, first: int = 1940) -> DataFrame:
     pressure, model = default_levels(pressure, model)
     kinds = ["single", *(["pressure"] if pressure else []), *(["model"] if model else [])]
-    return months(spark, years, today, first).join(_values(spark, "level_type", kinds)).select("year", "month", kind)
+    return months(spark, years, today, first).join(_values(spark, "level_type", kinds)).select("year", "month", "level_type")
 
 
 def barra_plan(spark: SparkSession, years: list[int], today: dt.date, single: list[str], pressure: list[str], levels: list[int], invariant: list[str], model: str) -> DataFrame:
