@@ -55,26 +55,29 @@ def differs(c: Column, value) -> Column:
     return ~c.eqNullSafe(F.lit(value))
 
 
+#: Ids that batches() takes as splitters; their number is fixed, so the driver gets no more.
+SPLITTERS = 255
+
+
 def batches(ids: DataFrame, column: str, size: int) -> DataFrame:
     """Adds ``batch``, from 1: as few as hold ``size`` each, of sizes that differ by one at most, the larger first.
 
-    Ids are numbered by a sort over ranges with counted offsets, not by a window over all rows in one task.
+    Ids are dealt to ranges between splitters (those of least hash), numbered there, and offset by the counts of the
+    ranges before, so no task sorts them all. Splitters are literals: a task that runs again deals alike.
     """
-    dealt = ids.repartitionByRange(column).sortWithinPartitions(column).withColumn("_p", F.spark_partition_id())
-    w = Window.partitionBy("_p").orderBy(column)
-    counts = {r["_p"]: r["n"] for r in dealt.groupBy("_p").agg(F.count("*").alias("n")).collect()}
-    total, before = sum(counts.values()), 0
+    some = ids.filter(F.col(column).isNotNull()).select(column).distinct().orderBy(F.xxhash64(column), column).limit(SPLITTERS).collect()
+    splitters = F.array(*[F.lit(v) for v in sorted(r[0] for r in some)]) if some else F.array(F.lit(None))
+    dealt = ids.withColumn("_p", F.size(F.filter(splitters, lambda s: F.coalesce(s <= F.col(column), F.lit(False)))))
+    counts = dealt.groupBy("_p").agg(F.count("*").alias("_c"))
+    total = counts.agg(F.sum("_c")).first()[0] or 0
     if not total:
         return ids.withColumn("batch", F.lit(1))
-    offset = F.lit(0).cast("long")
-    for p in sorted(counts):
-        offset = F.when(F.col("_p") == p, F.lit(before)).otherwise(offset)
-        before += counts[p]
+    before = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_b"))
     n = -(-total // size)
     low, more = divmod(total, n)
-    i = offset + F.row_number().over(w) - 1
+    i = F.col("_b") + F.row_number().over(Window.partitionBy("_p").orderBy(column)) - 1
     batch = F.when(i < more * (low + 1), F.floor(i / (low + 1))).otherwise(more + F.floor((i - more * (low + 1)) / low))
-    return dealt.withColumn("batch", (batch + 1).cast("int")).drop("_p")
+    return dealt.join(before, "_p").withColumn("batch", (batch + 1).cast("int")).drop("_p", "_b")
 
 
 def missing(wanted: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
