@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .logistic import logistic
 
 #: Labelled documents that the model is fitted on, at most, and the longest text among them (code points).
-LABELLED, LONGEST = 6000, 200_000
+LABELLED, LONGEST = 6000, 20_000
 #: Tokens of a chain: texts are cut into chains of so many. Lengths of the prefixes that a token's features include.
 CHAIN, PREFIXES = 64, (4, 5, 6, 7)
 #: A feature marks its tokens as toxic in toxic documents if it is in so many of these, and so much likelier there.
