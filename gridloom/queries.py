@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions import text
 from .functions import time as tf
 from .operators import contracts, quality, relational, reshape
-from .plans import tasks
+from .plans import tasks, weather
 from .sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -355,3 +355,62 @@ def source_routing(spark, d):
 @query("SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, count(*) AS n FROM lineitem GROUP BY ALL")
 def sum_by_flag(spark, d):
     return t(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("sum_qty"), F.count("*").alias("n"))
+
+
+@query("""SELECT strftime(g, '%Y') AS year, strftime(g, '%m') AS month, k AS level_type FROM unnest(generate_series(TIMESTAMP '2023-01-01', TIMESTAMP '2024-05-31', INTERVAL 1 MONTH)) AS s(g), (VALUES ('single'), ('pressure'), ('model')) AS l(k)""")
+def weather_plan(spark, d):
+    return weather.era5_plan(spark, [2023, 2024], dt.date(2024, 6, 1), ["1000"], ["137"])
+
+
+@query("""SELECT o_orderkey, day(last_day(o_orderdate))::BIGINT AS n_days, strftime(o_orderdate, '%Y-%m') || '-01/to/' || strftime(last_day(o_orderdate), '%Y-%m-%d') AS span FROM orders""")
+def request_spans(spark, d):
+    first = F.trunc("o_orderdate", "month")
+    span = F.concat(F.date_format(first, "yyyy-MM-dd"), F.lit("/to/"), F.date_format(F.last_day("o_orderdate"), "yyyy-MM-dd"))
+    return t(spark, d, "orders").select("o_orderkey", F.size(tf.days_of_month(F.col("o_orderdate"))).cast("long").alias("n_days"), span.alias("span"))
+
+
+@query("""SELECT o_orderkey, o_orderkey % 4 <> 2 AS ok FROM orders""")
+def date_validation(spark, d):
+    good = F.date_format("o_orderdate", "yyyy-MM-dd")
+    k = F.col("o_orderkey") % 4
+    raw = F.when(k == 0, good).when(k == 1, F.substring(good, 1, 7)).when(k == 3, F.substring(good, 1, 4)).otherwise(F.concat(F.substring(good, 1, 5), F.lit("02-31")))
+    return t(spark, d, "orders").select("o_orderkey", tf.valid_date(raw).alias("ok"))
+
+
+@query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN 400 + event_id % 100 WHEN 1 THEN 503 END::BIGINT AS status FROM events""")
+def http_status_codes(spark, d):
+    k = F.col("event_id") % 3
+    message = F.when(k == 0, F.concat(F.lit("HTTP status code: "), (F.lit(400) + F.col("event_id") % 100).cast("string"))).when(k == 1, F.lit("Server answered 503 to it")).otherwise(F.lit("refused"))
+    return t(spark, d, "events").select("event_id", text.http_status(message).cast("long").alias("status"))
+
+
+@query("SELECT c_custkey, c_custkey % 3 = 0 AS complete FROM customer")
+def required_fields(spark, d):
+    third = F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).when(F.col("c_custkey") % 3 == 1, F.lit(" "))
+    return t(spark, d, "customer").select("c_custkey", text.present(F.col("c_name"), third).alias("complete"))
+
+
+@query(f"""WITH p AS ({_PROBES}), z AS (SELECT zone, substr(min(date) FILTER (has_data), 1, 4)::BIGINT AS start, substr(max(date) FILTER (has_data), 1, 4)::BIGINT AS last FROM p GROUP BY 1)
+SELECT zone, start, CASE WHEN last <> 2025 THEN last END AS "end" FROM z WHERE start IS NOT NULL""")
+def zone_listing(spark, d):
+    z = quality.zone_listing(quality.availability(_probes(spark, d)), 2025)
+    return z.select("zone", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+
+
+@query("""WITH f AS (SELECT o_orderkey, 'data (' || CASE WHEN o_orderkey % 2 = 0 THEN 'a' ELSE 'b' END || ') ' AS stem, date_trunc('month', o_orderdate) AS m FROM orders)
+SELECT o_orderkey, strftime(unnest(generate_series(m, CASE WHEN o_orderkey % 5 = 0 THEN m + INTERVAL 2 MONTH ELSE m END, INTERVAL 1 MONTH)), '%Y-%m') AS month FROM f""")
+def months_of_names(spark, d):
+    m = F.date_format("o_orderdate", "yyyy-MM")
+    later = F.date_format(F.add_months("o_orderdate", 2), "yyyy-MM")
+    name = F.when(F.col("o_orderkey") % 5 == 0, F.concat_ws(" - ", F.lit("data"), m, later)).otherwise(F.concat(F.lit("data "), m, F.lit(".zip")))
+    return t(spark, d, "orders").select("o_orderkey", F.explode(readers.months_in_name(name)).alias("month"))
+
+
+@query("""SELECT p_partkey, unnest(range(1, 4)) AS position, strftime(TIMESTAMP '2024-03-10 00:00:00' + INTERVAL 1 MINUTE * (unnest(range(0, 3)) * p_size), '%Y-%m-%d %H:%M') AS at FROM part WHERE p_size > 0""")
+def stamped_points(spark, d):
+    from .sources.providers import entsoe_records
+
+    points = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.struct(i.alias("position")))
+    p = t(spark, d, "part").filter("p_size > 0").select("p_partkey", F.lit("2024-03-10 00:00:00").cast("timestamp_ntz").alias("period_start"), F.col("p_size").alias("resolution_minutes"), points.alias("points"))
+    rows = entsoe_records(p, ["p_partkey"])
+    return rows.select("p_partkey", F.col("position").cast("long").alias("position"), F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("at"))
