@@ -48,7 +48,7 @@ def bpe(df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col:
     Null counts as empty text, which has no ids. No special tokens. Any other columns pass through; columns that
     already bear the new names are replaced. ``path`` is the rank file on every machine.
     """
-    kept = [c for c in df.columns if c not in (ids_col, decoded_col)]
+    kept = [c for c in df.columns if c.lower() not in (ids_col.lower(), decoded_col.lower())]
     df = df.select(*[f"`{c}`" for c in kept])
     schema = T.StructType([*df.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False)), T.StructField(decoded_col, T.BinaryType())])
 

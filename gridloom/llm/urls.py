@@ -107,4 +107,4 @@ def judge(pages: DataFrame, block: list[str], allow: list[str], url_col: str = "
     blocks, allows = (BloomCascade.build(listed(rules), universe) for rules in (block, allow))
     found = F.transform(keys, lambda k: F.struct(F.length(k).alias("n"), k.alias("rule"), F.when(allows.contains(k), F.lit("allow")).when(blocks.contains(k), F.lit("block")).alias("verdict")))
     best = F.array_max(F.filter(found, lambda f: f["verdict"].isNotNull()))
-    return keyed.withColumn("_best", best).withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", F.lit(default))}).drop("_best")
+    return keyed.withColumn("__best", best).withColumns({"rule": F.col("__best.rule"), "verdict": F.coalesce("__best.verdict", F.lit(default))}).drop("__best")
