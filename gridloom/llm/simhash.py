@@ -167,7 +167,8 @@ def near_groups(prints: DataFrame) -> DataFrame:
     reached by no one, but its row gets the component's least id (null if there is none).
     """
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    dealt = variants(nodes.select("fp")).repartition("key").sortWithinPartitions("key").select("key", "fp")
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes that become many: not to be coalesced
+    dealt = variants(nodes.select("fp").repartition(tasks, F.xxhash64("fp"))).repartition("key").sortWithinPartitions("key").select("key", "fp")
     found = components(cut(dealt.mapInArrow(_meet, "u long, v long")))
     rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
