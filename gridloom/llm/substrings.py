@@ -119,8 +119,8 @@ def decide(rows: DataFrame) -> DataFrame:
     """Of rows with ``core, hull, n, key, lo``, those whose core comes twice, with ``repeats`` (their hull does too)
     and ``open``: among several hulls of a core, each that is alone and one of those that repeat."""
     cores = rows.groupBy("core").agg(F.sum("n").alias("c"), (F.min("hull") != F.max("hull")).alias("mixed")).filter("c > 1").drop("c")
-    some = rows.join(cores, "core")
-    hulls = some.groupBy("core", "hull").agg(F.sum("n").alias("c"), F.min(F.struct("key", "lo")).alias("one"))
+    some = cut(rows.join(cores, "core"))
+    hulls = cut(some.groupBy("core", "hull").agg(F.sum("n").alias("c"), F.min(F.struct("key", "lo")).alias("one")))  # cut, so that skew in the join can be split
     some = some.join(hulls, ["core", "hull"])
     return some.withColumns({"repeats": F.col("c") > 1, "open": F.col("mixed") & ((F.col("c") == 1) | (F.struct("key", "lo") == F.col("one")))}).drop("core", "hull", "n", "c", "one", "mixed")
 
@@ -255,7 +255,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     each other. Other columns pass through, those that bear a new name are replaced.
     """
     new = ("n_bytes", "spans", "kept")
-    docs = docs.select(*[f"`{c}`" for c in docs.columns if c not in new])
+    docs = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new])
     schema = T.StructType([*docs.schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.BinaryType())])
     names, pair = docs.columns, pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
@@ -275,6 +275,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 kept.append(b"".join(raw[a:b] for a, b in zip([0, *(b for _, b in ends)], [*(a for a, _ in ends), len(raw)], strict=True)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(lengths, pa.int64()), pa.array(spans, pa.list_(pair)), pa.array(kept, pa.binary())], names=[*names, *new])
 
-    found = repeated_windows(docs, id_col, text_col).withColumnRenamed("key", "_key")
-    keyed = docs.withColumn("_key", row_key(id_col, text_col))
-    return keyed.join(found, "_key", "left").select(*[f"`{c}`" for c in names], "windows").mapInArrow(run, schema)
+    found = repeated_windows(docs, id_col, text_col).toDF("__key", "__windows")
+    keyed = docs.withColumn("__key", row_key(id_col, text_col))
+    return keyed.join(found, "__key", "left").select(*[f"`{c}`" for c in names], "__windows").mapInArrow(run, schema)
