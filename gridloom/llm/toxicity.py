@@ -16,11 +16,13 @@ from pyspark.sql import types as T
 from .logistic import logistic
 
 #: Labelled documents that the model is fitted on, at most, and the longest text among them (code points).
-LABELLED, LONGEST = 6000, 20_000
+LABELLED, LONGEST = 4000, 20_000
 #: Tokens of a chain: texts are cut into chains of so many. Lengths of the prefixes that a token's features include.
 CHAIN, PREFIXES = 64, (4, 5, 6, 7)
 #: A feature marks its tokens as toxic in toxic documents if it is in so many of these, and so much likelier there.
 SUPPORT, RATIO = 5, 12.0
+#: Words whose emission a task remembers, at most.
+CACHED = 400_000
 TOKEN = re.compile(r"\w+")
 
 
@@ -43,9 +45,9 @@ def chains(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(real, at, 0), real
 
 
-def marginals(emission: np.ndarray, real: np.ndarray, start: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward over chains of two states, state 0 emitting 0: P(state 1) of each place, and the expected
-    number of each step. Padding is at the end of chains."""
+def marginals(emission: np.ndarray, real: np.ndarray, start: np.ndarray, step: np.ndarray, count: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward over chains of two states, state 0 emitting 0: P(state 1) of each place, and, if asked to count,
+    the expected number of each step. Padding is at the end of chains."""
     n, length = emission.shape
     psi = np.ones((n, length, 2))
     psi[:, :, 1] = np.exp(np.clip(emission, -30, 30))
@@ -56,9 +58,10 @@ def marginals(emission: np.ndarray, real: np.ndarray, start: np.ndarray, step: n
     steps = np.zeros((2, 2))
     for t in range(length - 2, -1, -1):
         back = psi[:, t + 1] * b[:, t + 1]
-        pair = a[:, t, :, None] * move * back[:, None, :]
         ok = real[:, t + 1]
-        steps += (pair[ok] / pair[ok].sum((1, 2), keepdims=True)).sum(0)
+        if count:
+            pair = a[:, t, :, None] * move * back[:, None, :]
+            steps += (pair[ok] / pair[ok].sum((1, 2), keepdims=True)).sum(0)
         back = back @ move.T
         b[:, t] = np.where(ok[:, None], back / back.sum(1, keepdims=True), 1)
     joint = a * b
@@ -73,28 +76,24 @@ class Model:
     step: np.ndarray
     calibration: np.ndarray
 
-    def emissions(self, tokens: list[str], cache: dict[str, float]) -> list[float]:
-        out = []
-        for t in tokens:
-            e = cache.get(t)
-            if e is None:
-                e = self.bias + sum(self.weights.get(f, 0.0) for f in features_of(t))
-                if len(cache) < 500_000:
-                    cache[t] = e
-            out.append(e)
-        return out
+    def emissions(self, tokens: list[str], cache: dict[str, float]) -> np.ndarray:
+        if len(cache) > CACHED:
+            cache.clear()
+        for t in set(tokens).difference(cache):
+            cache[t] = self.bias + sum(self.weights.get(f, 0.0) for f in features_of(t))
+        return np.fromiter(map(cache.__getitem__, tokens), float, len(tokens))
 
     def tag(self, texts: list[list[str]], cache: dict[str, float]) -> list[np.ndarray]:
         """P(toxic) of each token of each text."""
         lengths = np.array([len(t) for t in texts], np.int64)
-        flat = np.array([e for t in texts for e in self.emissions(t, cache)])
+        flat = self.emissions([w for t in texts for w in t], cache)
         if not len(flat):
             return [np.zeros(0)] * len(texts)
         at, real = chains(lengths)
         p = np.zeros(len(flat))
         for lo in range(0, len(at), 4096):
             a, r = at[lo : lo + 4096], real[lo : lo + 4096]
-            p[a[r]] = marginals(np.where(r, flat[a], 0), r, self.start, self.step)[0][r]
+            p[a[r]] = marginals(np.where(r, flat[a], 0), r, self.start, self.step, False)[0][r]
         return np.split(p, np.cumsum(lengths)[:-1])
 
     def score(self, p: np.ndarray) -> float:
@@ -114,7 +113,8 @@ def train(texts: list[str], toxic: list[int], rounds: int = 80) -> Model:
     A token of a toxic document counts as toxic if one of its features (the word or a prefix) is far likelier in toxic
     documents. Without documents of both labels, every score is low.
     """
-    tokens, y = [tokens_of(t) for t in texts], np.array(toxic, float)
+    one: dict[str, str] = {}  # a string for each word, not for each token
+    tokens, y = [[one.setdefault(w, w) for w in tokens_of(t)] for t in texts], np.array(toxic, float)
     seen = [Counter(), Counter()]
     for t, label in zip(tokens, toxic, strict=True):
         seen[label].update({f for w in set(t) for f in features_of(w)})
@@ -133,7 +133,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 80) -> Model:
                 labels.append(is_toxic)
     weights, bias, start, step = np.zeros(len(ids) + 1), -3.0, np.zeros(2), np.zeros((2, 2))
     if marks and chosen:
-        f = np.zeros((len(chosen), CHAIN, width), np.int64)
+        f = np.zeros((len(chosen), CHAIN, width), np.int32)
         real, want = np.zeros((len(chosen), CHAIN), bool), np.zeros((len(chosen), CHAIN))
         for i, (part, is_toxic) in enumerate(zip(chosen, labels, strict=True)):
             real[i, : len(part)] = True
@@ -162,7 +162,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 80) -> Model:
                 new.append(value + 0.1 * (state[2 * j] / (1 - 0.9**i)) / (np.sqrt(state[2 * j + 1] / (1 - 0.99**i)) + 1e-8))
             weights, bias, start, step = new[0], float(new[1][0]), new[2], new[3]
             weights[0] = 0
-    model = Model({name: float(weights[i]) for name, i in ids.items() if abs(weights[i]) > 1e-3}, bias, start, step, np.zeros(5))
+    model = Model({name: float(weights[i]) for name, i in ids.items() if abs(weights[i]) > 0.01}, bias, start, step, np.zeros(5))
     model.calibration = logistic(np.array([summary(p) for p in model.tag(tokens, {})]).reshape(len(texts), 5), y, 0.1, -3.0)
     return model
 
@@ -184,7 +184,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Adds ``score`` and ``spans``, the [start, end) in code points of tokens that are toxic by a marginal of one half
     or more. Only the text counts. Null is empty; texts without tokens get the score of none expected. Other columns
     pass through; those that bear a new name are replaced."""
-    kept = [c for c in docs.columns if c not in ("score", "spans")]
+    kept = [c for c in docs.columns if c.lower() not in ("score", "spans")]
     docs = docs.select(*[f"`{c}`" for c in kept])
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))])
