@@ -95,13 +95,28 @@ def dim_fact_join(spark, d):
 _NULLED = "SELECT c_custkey, nullif(c_nationkey, 3) AS nation, nullif(c_mktsegment, 'BUILDING') AS segment FROM customer"
 
 
+def _nulled(spark, d):
+    return t(spark, d, "customer").select("c_custkey", F.nullif("c_nationkey", F.lit(3)).alias("nation"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"))
+
+
+def _with_counts(left, right):
+    b = right.groupBy("nation", "segment").agg(F.count("*").alias("n"))
+    return relational.join_null_safe(left, b, ["nation", "segment"]).select("c_custkey", "nation", "segment", "n")
+
+
 @query(f"""WITH c AS ({_NULLED}), a AS (SELECT * FROM c WHERE c_custkey % 7 = 0),
 b AS (SELECT nation, segment, count(*) AS n FROM c WHERE c_custkey % 3 = 0 GROUP BY 1, 2)
 SELECT c_custkey, a.nation, a.segment, n FROM a JOIN b ON a.nation IS NOT DISTINCT FROM b.nation AND a.segment IS NOT DISTINCT FROM b.segment""")
 def null_safe_multi_key_join(spark, d):
-    c = t(spark, d, "customer").select("c_custkey", F.nullif("c_nationkey", F.lit(3)).alias("nation"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"))
-    b = c.filter("c_custkey % 3 = 0").groupBy("nation", "segment").agg(F.count("*").alias("n"))
-    return relational.join_null_safe(c.filter("c_custkey % 7 = 0"), b, ["nation", "segment"]).select("c_custkey", "nation", "segment", "n")
+    c = _nulled(spark, d)
+    return _with_counts(c.filter("c_custkey % 7 = 0"), c.filter("c_custkey % 3 = 0"))
+
+
+@query(f"""WITH c AS ({_NULLED}), b AS (SELECT nation, segment, count(*) AS n FROM c GROUP BY 1, 2)
+SELECT c_custkey, c.nation, c.segment, n FROM c JOIN b ON c.nation IS NOT DISTINCT FROM b.nation AND c.segment IS NOT DISTINCT FROM b.segment""")
+def null_safe_multi_key_join_whole(spark, d):
+    c = _nulled(spark, d)
+    return _with_counts(c, c)
 
 
 @query("""WITH o AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n FROM orders GROUP BY 1),

@@ -31,6 +31,14 @@ def test_query_equals_sql(spark, duck, name):
     assert norm(tuple(r) for r in df.select(*columns).collect()) == norm(got.fetchall())
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
+def test_the_whole_null_safe_join_has_every_customer_once(spark, duck):
+    rows = QUERIES["null_safe_multi_key_join_whole"](spark, DATA).collect()
+    assert sorted(r["c_custkey"] for r in rows) == [r[0] for r in duck.execute("SELECT c_custkey FROM customer ORDER BY 1").fetchall()]
+    groups = {(r["nation"], r["segment"]): r["n"] for r in rows}
+    assert sum(groups.values()) == len(rows) and any(None in g for g in groups)
+
+
 def test_entry_imports_without_the_llm_folder(tmp_path):
     import shutil
     import subprocess
