@@ -22,7 +22,7 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).unionByName(extra)
     done = chat.render(chat.reconstruct(chat.events_of(rows))).withColumn("turns", chat.parse(F.col("formatted")))
     every = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    learned = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    learned = F.array_join(F.transform("loss_mask", lambda s: chat.unescape(F.substr(F.col("formatted"), s["start"] + 1, s["end"] - s["start"]))), "")
     done = done.withColumns({"every": every, "learned": learned})
     return done.select(
         "conv_id",
