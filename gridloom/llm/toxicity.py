@@ -16,11 +16,13 @@ from pyspark.sql import types as T
 from .logistic import logistic
 
 #: Labelled documents that the model is fitted on, at most, and the longest text among them (code points).
-LABELLED, LONGEST = 4000, 20_000
+LABELLED, LONGEST = 6000, 200_000
 #: Tokens of a chain: texts are cut into chains of so many. Lengths of the prefixes that a token's features include.
 CHAIN, PREFIXES = 64, (4, 5, 6, 7)
 #: A feature marks its tokens as toxic in toxic documents if it is in so many of these, and so much likelier there.
 SUPPORT, RATIO = 5, 12.0
+#: Share of the chains without a marked token that the field is trained on, and the least weight that a model keeps.
+UNMARKED, LEAST = 0.15, 1e-3
 #: Words whose emission a task remembers, at most.
 CACHED = 400_000
 TOKEN = re.compile(r"\w+")
@@ -128,7 +130,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 80) -> Model:
         for lo in range(0, len(t), CHAIN):
             part = t[lo : lo + CHAIN]
             is_toxic = [bool(label) and not marks.isdisjoint(features_of(w)) for w in part]
-            if any(is_toxic) or rng.random() < 0.15:
+            if any(is_toxic) or rng.random() < UNMARKED:
                 chosen.append(part)
                 labels.append(is_toxic)
     weights, bias, start, step = np.zeros(len(ids) + 1), -3.0, np.zeros(2), np.zeros((2, 2))
@@ -162,7 +164,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 80) -> Model:
                 new.append(value + 0.1 * (state[2 * j] / (1 - 0.9**i)) / (np.sqrt(state[2 * j + 1] / (1 - 0.99**i)) + 1e-8))
             weights, bias, start, step = new[0], float(new[1][0]), new[2], new[3]
             weights[0] = 0
-    model = Model({name: float(weights[i]) for name, i in ids.items() if abs(weights[i]) > 0.01}, bias, start, step, np.zeros(5))
+    model = Model({name: float(weights[i]) for name, i in ids.items() if abs(weights[i]) > LEAST}, bias, start, step, np.zeros(5))
     model.calibration = logistic(np.array([summary(p) for p in model.tag(tokens, {})]).reshape(len(texts), 5), y, 0.1, -3.0)
     return model
 
