@@ -44,10 +44,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated byte strings, and of characters cut by that what is left; documents of nothing else go."""
+    """Removes repeated byte strings, widened to whole characters; documents of nothing else go."""
     ship(spark)
-    rows = substrings.remove_repeats(docs)
-    left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
+    rows = substrings.remove_repeats(docs, whole_characters=True)
+    left = F.col("kept").cast("string")
     changed = F.size("spans") > 0
     rows = rows.withColumn("_left", F.when(changed, left)).filter(~changed | (F.length("_left") > 0))
     new = {"text": F.coalesce("_left", "text"), "n_chars": F.when(changed, F.length("_left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}

@@ -248,11 +248,38 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return spans.groupBy("key").agg(F.collect_list("w").alias("windows"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def widened(raw: bytes, ends: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted disjoint spans of UTF-8 text, grown to the ends of the characters that they cut; spans that meet then are
+    one. A byte of no character is left as it is."""
+    out: list[tuple[int, int]] = []
+    for a, b in ends:
+        a, b = _character(raw, a)[0], _character(raw, b)[1]
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _character(raw: bytes, at: int) -> tuple[int, int]:
+    """Start and end of the character that a cut before byte ``at`` divides; the cut itself if it divides none."""
+    for start in range(at - 1, max(-1, at - 4), -1):
+        lead = raw[start]
+        if lead & 0xC0 != 0x80:
+            end = start + (4 if lead >= 0xF0 else 3 if lead >= 0xE0 else 2 if lead >= 0xC0 else 1)
+            tail = raw[start + 1 : end]
+            if at < end <= len(raw) and all(c & 0xC0 == 0x80 for c in tail):
+                return start, end
+            break
+    return at, at
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_characters: bool = False) -> DataFrame:
     """Adds ``n_bytes, spans, kept``: the length of a text, its maximal removed runs as [start, end) and what is left.
 
     Null counts as empty. Both copies of a repeat go, also of one within a text. Rows may repeat: they are copies of
-    each other. Other columns pass through, those that bear a new name are replaced.
+    each other. Other columns pass through, those that bear a new name are replaced. With ``whole_characters`` runs are
+    widened to the characters that they cut.
     """
     new = ("n_bytes", "spans", "kept")
     docs = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new])
@@ -270,6 +297,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     flat = windows.values.flatten()
                     lo, hi = merged(flat[0].to_numpy(), flat[1].to_numpy() + WINDOW)
                 ends = [*zip(lo.tolist(), hi.tolist(), strict=True)]
+                if whole_characters:
+                    ends = widened(raw, ends)
                 lengths.append(len(raw))
                 spans.append([{"start": a, "end": b} for a, b in ends])
                 kept.append(b"".join(raw[a:b] for a, b in zip([0, *(b for _, b in ends)], [*(a for a, _ in ends), len(raw)], strict=True)))
