@@ -88,7 +88,16 @@ def fixed_offset_shift(spark, d):
 
 @query("SELECT l_orderkey, l_linenumber, p_name, p_brand, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= 25")
 def dim_fact_join(spark, d):
-    dim = t(spark, d, "part").filter("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
+    return _parts_of_lines(spark, d, t(spark, d, "part").filter("p_size <= 25"))
+
+
+@query("SELECT l_orderkey, l_linenumber, p_name, p_brand, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey")
+def dim_fact_join_whole(spark, d):
+    return _parts_of_lines(spark, d, t(spark, d, "part"))
+
+
+def _parts_of_lines(spark, d, part):
+    dim = part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
     return relational.with_dimension(t(spark, d, "lineitem"), dim, "l_partkey", ["l_orderkey", "l_linenumber", "p_name", "p_brand", "l_quantity"], ["l_orderkey", "l_linenumber"])
 
 

@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from gridloom.operators import relational
 from gridloom.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -39,6 +40,18 @@ def test_the_whole_null_safe_join_has_every_customer_once(spark, duck):
     assert sum(groups.values()) == len(rows) and any(None in g for g in groups)
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
+def test_the_whole_dimension_join_has_every_line_of_known_parts(spark, duck):
+    assert QUERIES["dim_fact_join_whole"](spark, DATA).count() == duck.execute("SELECT count(*) FROM lineitem").fetchone()[0]
+
+
+def test_facts_without_a_dimension_drop_out(spark):
+    facts = spark.createDataFrame([(1, 7), (2, 8), (3, None), (4, 7)], "line long, part long")
+    parts = spark.createDataFrame([(7, "seven"), (9, "nine")], "part long, name string")
+    rows = relational.with_dimension(facts, parts, "part", ["line", "name"], ["line"]).collect()
+    assert [tuple(r) for r in rows] == [(1, "seven"), (4, "seven")]
+
+
 def test_entry_imports_without_the_llm_folder(tmp_path):
     import shutil
     import subprocess
