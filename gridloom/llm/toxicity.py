@@ -13,16 +13,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import cut
 from .logistic import logistic
 
-#: Labelled documents that the model is fitted on, at most, and the longest text among them (code points).
-LABELLED, LONGEST = 6000, 200_000
-#: Tokens of a chain: texts are cut into chains of so many. Lengths of the prefixes that a token's features include.
-CHAIN, PREFIXES = 64, (4, 5, 6, 7)
+#: Labelled documents that the model is fitted on, at most, and bytes of their texts: whole texts, as many as fit.
+LABELLED, BYTES = 6000, 64 << 20
+#: Tokens of a block: texts are worked on in blocks of so many, which hand their messages on. Blocks worked on at once.
+#: Lengths of the prefixes that a token's features include.
+BLOCK, AT_ONCE, PREFIXES = 64, 16_384, (4, 5, 6, 7)
 #: A feature marks its tokens as toxic in toxic documents if it is in so many of these, and so much likelier there.
 SUPPORT, RATIO = 5, 12.0
-#: Share of the chains without a marked token that the field is trained on, and the least weight that a model keeps.
-UNMARKED, LEAST = 0.15, 1e-3
+#: The least weight that a model keeps.
+LEAST = 1e-3
 #: Words whose emission a task remembers, at most.
 CACHED = 400_000
 TOKEN = re.compile(r"\w+")
@@ -37,37 +39,84 @@ def tokens_of(text: str) -> list[str]:
     return TOKEN.findall(low) if len(low) == len(text) else [t.lower() for t in TOKEN.findall(text)]
 
 
-def chains(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For texts of so many tokens, the place of each token of each chain in all tokens, and which places are real."""
-    starts = np.cumsum(lengths) - lengths
-    first = np.concatenate([np.arange(s, s + n, CHAIN) for s, n in zip(starts.tolist(), lengths.tolist(), strict=True)] or [np.zeros(0, np.int64)]).astype(np.int64)
-    end = np.repeat(starts + lengths, -(-lengths // CHAIN))
-    at = first[:, None] + np.arange(CHAIN)
-    real = at < end[:, None]
-    return np.where(real, at, 0), real
+def blocks(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For texts of so many tokens, the place of each token of each block in all tokens, which places are real, and which
+    blocks begin a text."""
+    starts, count = np.cumsum(lengths) - lengths, -(-lengths // BLOCK)
+    nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    at = (np.repeat(starts, count) + nth * BLOCK)[:, None] + np.arange(BLOCK)
+    real = at < np.repeat(starts + lengths, count)[:, None]
+    return np.where(real, at, 0), real, nth == 0
 
 
-def marginals(emission: np.ndarray, real: np.ndarray, start: np.ndarray, step: np.ndarray, count: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward over chains of two states, state 0 emitting 0: P(state 1) of each place, and, if asked to count,
-    the expected number of each step. Padding is at the end of chains."""
+def transfer(psi: np.ndarray, real: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The product of all steps inside each block, as four rows (from 0 to 0, 0 to 1, 1 to 0, 1 to 1), up to a factor."""
+    a, b, c, d = np.ones(psi.shape[1]), np.zeros(psi.shape[1]), np.zeros(psi.shape[1]), np.ones(psi.shape[1])
+    for t in range(1, len(psi)):
+        new = a * m[0, 0] + b * m[1, 0], (a * m[0, 1] + b * m[1, 1]) * psi[t], c * m[0, 0] + d * m[1, 0], (c * m[0, 1] + d * m[1, 1]) * psi[t]
+        size = np.maximum(np.maximum(new[0], new[1]), np.maximum(new[2], new[3]))
+        a, b, c, d = (np.where(real[t], x / size, old) for x, old in zip(new, (a, b, c, d), strict=True))
+    return np.stack([a, b, c, d])
+
+
+def messages(inner: np.ndarray, psi: np.ndarray, head: np.ndarray, start: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What comes to each block of a text from the ones before and behind: the odds of state 1 at its first token, but for
+    that token's own emission, and at its last, as seen from the rest of the text."""
+    before, behind = np.full(len(head), np.exp(start[1] - start[0])), np.ones(len(head))
+    nth = np.arange(len(head)) - np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
+    order = np.argsort(nth, kind="stable")
+    levels = np.split(order, np.searchsorted(nth[order], np.arange(1, int(nth.max(initial=0)) + 1)))
+    a, b, c, d = inner
+    for at in levels[1:]:
+        r = before[at - 1] * psi[at - 1]
+        r = (b[at - 1] + r * d[at - 1]) / (a[at - 1] + r * c[at - 1])
+        before[at] = (m[0, 1] + r * m[1, 1]) / (m[0, 0] + r * m[1, 0])
+    for at in levels[:0:-1]:
+        s = (c[at] + d[at] * behind[at]) / (a[at] + b[at] * behind[at]) * psi[at]
+        behind[at - 1] = (m[1, 0] + m[1, 1] * s) / (m[0, 0] + m[0, 1] * s)
+    return before, behind
+
+
+def marginals(emission: np.ndarray, real: np.ndarray, start: np.ndarray, step: np.ndarray, count: bool = True, head: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward over texts of two states, state 0 emitting 0: P(state 1) of each place, and, if asked to count,
+    the expected number of each step. Rows are the blocks of texts one after the other; ``head`` says which begin one
+    (all, if it is not given). Padding is at the end of texts. Both passes carry odds, and blocks hand theirs on, so
+    that the marginals are those of the whole text."""
     n, length = emission.shape
-    psi = np.ones((n, length, 2))
-    psi[:, :, 1] = np.exp(np.clip(emission, -30, 30))
-    a, b, move = np.zeros((n, length, 2)), np.ones((n, length, 2)), np.exp(step)
-    for t in range(length):
-        a[:, t] = (np.exp(start) if t == 0 else a[:, t - 1] @ move) * psi[:, t]
-        a[:, t] /= a[:, t].sum(1, keepdims=True)
-    steps = np.zeros((2, 2))
-    for t in range(length - 2, -1, -1):
-        back = psi[:, t + 1] * b[:, t + 1]
-        ok = real[:, t + 1]
+    head, m, p, steps = np.ones(n, bool) if head is None else head, np.exp(step), np.zeros((n, length)), np.zeros((2, 2))
+    if not n:
+        return p, steps
+    parts = [slice(lo, lo + AT_ONCE) for lo in range(0, n, AT_ONCE)]
+    psi_of = lambda part: np.exp(np.clip(np.where(real[part], emission[part], 0), -30, 30).T)
+    first = np.exp(np.clip(np.where(real[:, 0], emission[:, 0], 0), -30, 30))
+    inner = np.ones((4, n)) if head.all() else np.concatenate([transfer(psi_of(part), real[part].T, m) for part in parts], axis=1)
+    before, behind = messages(inner, first, head, start, m)
+    last = np.zeros(n)
+    for part in parts:
+        psi, ok = psi_of(part), real[part].T
+        r, s = np.zeros(psi.shape), np.ones(psi.shape)
+        r[0] = before[part] * psi[0]
+        for t in range(1, length):
+            r[t] = (m[0, 1] + r[t - 1] * m[1, 1]) / (m[0, 0] + r[t - 1] * m[1, 0]) * psi[t]
+        s[-1] = behind[part]
+        for t in range(length - 2, -1, -1):
+            x = psi[t + 1] * s[t + 1]
+            s[t] = np.where(ok[t + 1], (m[1, 0] + m[1, 1] * x) / (m[0, 0] + m[0, 1] * x), behind[part])
+        p[part] = (r * s / (1 + r * s)).T
         if count:
-            pair = a[:, t, :, None] * move * back[:, None, :]
-            steps += (pair[ok] / pair[ok].sum((1, 2), keepdims=True)).sum(0)
-        back = back @ move.T
-        b[:, t] = np.where(ok[:, None], back / back.sum(1, keepdims=True), 1)
-    joint = a * b
-    return joint[:, :, 1] / joint.sum(2), steps
+            steps += _pairs(r[:-1][ok[1:]], (psi[1:] * s[1:])[ok[1:]], m)
+            last[part] = r[-1]
+            first[part] *= s[0]
+    if count and not head.all():
+        at = np.flatnonzero(~head)
+        steps += _pairs(last[at - 1], first[at], m)
+    return p, steps
+
+
+def _pairs(r: np.ndarray, x: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The expected number of each step, from the odds before and behind each."""
+    each = np.stack([np.full(len(r), m[0, 0]), m[0, 1] * x, m[1, 0] * r, m[1, 1] * r * x])
+    return (each / each.sum(0)).sum(1).reshape(2, 2)
 
 
 @dataclass
@@ -91,11 +140,9 @@ class Model:
         flat = self.emissions([w for t in texts for w in t], cache)
         if not len(flat):
             return [np.zeros(0)] * len(texts)
-        at, real = chains(lengths)
+        at, real, head = blocks(lengths)
         p = np.zeros(len(flat))
-        for lo in range(0, len(at), 4096):
-            a, r = at[lo : lo + 4096], real[lo : lo + 4096]
-            p[a[r]] = marginals(np.where(r, flat[a], 0), r, self.start, self.step, False)[0][r]
+        p[at[real]] = marginals(flat[at], real, self.start, self.step, False, head)[0][real]
         return np.split(p, np.cumsum(lengths)[:-1])
 
     def score(self, p: np.ndarray) -> float:
@@ -115,46 +162,37 @@ def train(texts: list[str], toxic: list[int], rounds: int = 80) -> Model:
     A token of a toxic document counts as toxic if one of its features (the word or a prefix) is far likelier in toxic
     documents. Without documents of both labels, every score is low.
     """
-    one: dict[str, str] = {}  # a string for each word, not for each token
-    tokens, y = [[one.setdefault(w, w) for w in tokens_of(t)] for t in texts], np.array(toxic, float)
+    number: dict[str, int] = {}  # a number for each word
+    tokens, y = [[number.setdefault(w, len(number)) for w in tokens_of(t)] for t in texts], np.array(toxic, float)
+    words = list(number)
+    features = [features_of(w) for w in words]
     seen = [Counter(), Counter()]
     for t, label in zip(tokens, toxic, strict=True):
-        seen[label].update({f for w in set(t) for f in features_of(w)})
+        seen[label].update({f for w in set(t) for f in features[w]})
     n1, n0 = y.sum() + 1, len(y) - y.sum() + 1
     marks = {f for f, c in seen[1].items() if c >= SUPPORT and (c / n1) / ((seen[0][f] + 0.5) / n0) >= RATIO}
     ids = {f: i + 1 for i, f in enumerate(f for f, c in (seen[0] + seen[1]).items() if c >= 3 or f in marks)}
-    width = 1 + len(PREFIXES)
-    chosen, labels = [], []
-    rng = np.random.default_rng(0)
-    for t, label in zip(tokens, toxic, strict=True):
-        for lo in range(0, len(t), CHAIN):
-            part = t[lo : lo + CHAIN]
-            is_toxic = [bool(label) and not marks.isdisjoint(features_of(w)) for w in part]
-            if any(is_toxic) or rng.random() < UNMARKED:
-                chosen.append(part)
-                labels.append(is_toxic)
     weights, bias, start, step = np.zeros(len(ids) + 1), -3.0, np.zeros(2), np.zeros((2, 2))
-    if marks and chosen:
-        f = np.zeros((len(chosen), CHAIN, width), np.int32)
-        real, want = np.zeros((len(chosen), CHAIN), bool), np.zeros((len(chosen), CHAIN))
-        for i, (part, is_toxic) in enumerate(zip(chosen, labels, strict=True)):
-            real[i, : len(part)] = True
-            want[i, : len(part)] = is_toxic
-            for j, w in enumerate(part):
-                for k, name in enumerate(features_of(w)):
-                    f[i, j, k] = ids.get(name, 0)
-        both = want.astype(int)
-        moves = np.zeros((2, 2))
-        np.add.at(moves, (both[:, :-1][real[:, 1:]], both[:, 1:][real[:, 1:]]), 1)
-        first = np.bincount(both[:, 0], minlength=2)
+    if marks:
+        width = 1 + len(PREFIXES)
+        f = np.array([[ids.get(x, 0) for x in fs] + [0] * (width - len(fs)) for fs in features], np.int64)
+        marked = np.array([not marks.isdisjoint(fs) for fs in features])
+        at, real, head = blocks(np.array([len(t) for t in tokens], np.int64))
+        word = np.concatenate([np.array(t, np.int64) for t in tokens])[at]
+        of = np.repeat(y > 0, [-(-len(t) // BLOCK) for t in tokens])
+        want = np.where(real, marked[word] & of[:, None], 0)
+        flat, follows = want[real], np.flatnonzero(~(head[:, None] & (np.arange(BLOCK) == 0))[real])
+        moves = np.bincount(2 * flat[follows - 1] + flat[follows], minlength=4).reshape(2, 2).astype(float)
+        first = np.bincount(want[head, 0], minlength=2)
         state = [np.zeros_like(x, dtype=float) for x in (weights, np.zeros(1), start, step) for _ in range(2)]
         for i in range(1, rounds + 1):
-            p, steps = marginals(np.where(real, bias + weights[f].sum(2), 0), real, start, step)
-            off = np.where(real, want - p, 0)
+            p, steps = marginals((bias + weights[f].sum(1))[word], real, start, step, True, head)
+            off = np.bincount(word[real], (want - p)[real], len(words))
+            begin = p[head, 0].sum()
             grads = [
-                np.bincount(f.ravel(), np.repeat(off.ravel(), width), len(weights)) - 0.01 * weights,
+                np.bincount(f.ravel(), np.repeat(off, width), len(weights)) - 0.01 * weights,
                 np.array([off.sum()]),
-                first - np.array([(1 - p[:, 0]).sum(), p[:, 0].sum()]),
+                first - np.array([head.sum() - begin, begin]),
                 moves - steps,
             ]
             new = []
@@ -165,7 +203,7 @@ def train(texts: list[str], toxic: list[int], rounds: int = 80) -> Model:
             weights, bias, start, step = new[0], float(new[1][0]), new[2], new[3]
             weights[0] = 0
     model = Model({name: float(weights[i]) for name, i in ids.items() if abs(weights[i]) > LEAST}, bias, start, step, np.zeros(5))
-    model.calibration = logistic(np.array([summary(p) for p in model.tag(tokens, {})]).reshape(len(texts), 5), y, 0.1, -3.0)
+    model.calibration = logistic(np.array([summary(p) for p in model.tag([[words[w] for w in t] for t in tokens], {})]).reshape(len(texts), 5), y, 0.1, -3.0)
     return model
 
 
@@ -173,12 +211,23 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> Model:
-    """Trains on the ``limit`` labelled ids of least hash that are not held out."""
+def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED, size: int = BYTES) -> Model:
+    """Trains on the ``limit`` labelled ids of least hash that are not held out, on whole texts of any length, as far as
+    these have ``size`` bytes together. Of labels with one id the greatest counts, of documents the least text; a null
+    text is empty."""
     some = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     some = some.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(limit)  # bounded, so it may be broadcast
-    rows = docs.filter(F.length("text") <= LONGEST).join(F.broadcast(some), "doc_id").select("doc_id", "text", "toxic")
-    got = rows.orderBy("doc_id", "text").limit(2 * limit).collect()
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
+    rows = cut(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
+    sizes = rows.select("doc_id", F.octet_length("text").alias("n"), F.xxhash64(F.lit(5), "doc_id").alias("h")).orderBy("h", "doc_id").collect()
+    total, fits = 0, []
+    for r in sizes:
+        if total + r["n"] <= size:
+            total += r["n"]
+            fits.append(r["doc_id"])
+    if len(fits) < len(sizes):
+        rows = rows.filter(F.col("doc_id").isin(fits))
+    got = sorted(rows.collect(), key=lambda r: r["doc_id"])
     return train([r["text"] for r in got], [int(r["toxic"] > 0) for r in got])
 
 
