@@ -33,17 +33,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the cluster's shared checkpoint folder and drop the lineage.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests) is one made here.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset a local session, as in tests, gets one; on
+    a cluster it is an error.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-"))
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and the executors share")
+    return tempfile.mkdtemp(prefix="gridloom-")
+
+
+def key_parts(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """``k1, k2``: 128 bits that name a row by its id and text; rows equal in both share them."""
+    return [F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias(name) for name, seed in (("k1", 17), ("k2", 0x5BD1E995))]
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """64 bits that name a row by its id and text; rows equal in both share it, rows with a null id do not."""
-    return F.xxhash64(F.lit(17), F.col(id_col), F.col(text_col))
+    """The parts of a row's key as one struct."""
+    return F.struct(*key_parts(id_col, text_col))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """These names behind so many underscores that no column of df bears one of them, in any case."""
+    taken, lead = {c.lower() for c in df.columns}, "__"
+    while any((lead + n).lower() in taken for n in names):
+        lead += "_"
+    return [lead + n for n in names]
+
+
+#: The type of a row's key in schemas.
+KEY = "struct<k1: bigint, k2: bigint>"
 
 
 def lower_ascii(c: Column) -> Column:

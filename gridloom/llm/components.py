@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
+#: Parts that the neighbours of a node are dealt to where they meet its least, so that no hub is one task's.
+PARTS = 16
+
 
 def _star(edges: DataFrame, to_smaller: bool) -> DataFrame:
     """Links each node's neighbours to the least of them and itself: larger ones (large star) or smaller ones."""
@@ -15,7 +18,8 @@ def _star(edges: DataFrame, to_smaller: bool) -> DataFrame:
     else:
         around = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = around.join(least, "u")
+    dealt = least.select("u", "m", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("s"))
+    joined = around.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(PARTS)).cast("int")).join(dealt, ["u", "s"])
     if to_smaller:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     else:

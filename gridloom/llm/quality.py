@@ -10,13 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, row_key
+from . import urls
+from .common import KEY, cut, row_key
 from .logistic import logistic
 
 #: Labelled rows that the evidence is fitted on, at most; the counts and priors cover every document.
 LABELLED = 6000
 #: Bounds of a document's logit, so that no text is certain, and of how many documents a prior is worth.
 LOGIT, WORTH = 8.0, (1.0, 1e6)
+#: Parts that the documents of a path are dealt to where they meet its prior.
+SALTS = 16
 
 
 def features(text: bytes) -> list[float]:
@@ -80,12 +83,13 @@ def _measure(text_at: int, then):
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> Evidence:
-    """Fits on the ``limit`` labelled ids of least hash; only their features come to the driver."""
+    """Fits on the ``limit`` labelled ids of least hash; only their features come to the driver. Of labels with one id
+    the greatest counts, of documents the least text."""
     some = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     some = some.orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").limit(limit)  # bounded, so it may be broadcast
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("t")).join(F.broadcast(some), "doc_id").select("doc_id", "quality", "t")
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("t")).join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("t").alias("t"))
     then = lambda b, x: pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int32()), pa.array(x.tolist())], names=["doc_id", "quality", "x"])
-    got = rows.mapInArrow(_measure(2, then), "doc_id long, quality int, x array<double>").orderBy("doc_id", "x").limit(2 * limit).collect()
+    got = rows.mapInArrow(_measure(2, then), "doc_id long, quality int, x array<double>").orderBy("doc_id").collect()
     width = len(features(b""))
     return Evidence.fit(np.array([r["x"] for r in got]).reshape(len(got), width), np.array([r["quality"] for r in got], float))
 
@@ -106,17 +110,27 @@ def _worth(sites: DataFrame) -> float:
     return min(WORTH[1], max(WORTH[0], rate * (1 - rate) / between - 1)) if between > 0 else WORTH[1]
 
 
-def score(docs: DataFrame, evidence: Evidence, site: str = "source", path: str = "lang", text_col: str = "text") -> DataFrame:
+def section(url: Column) -> Column:
+    """The path level of a url: the first part of its path; empty if it has none."""
+    return F.regexp_extract(urls.path(url), r"^/([^/]*)/", 1)
+
+
+def score(docs: DataFrame, evidence: Evidence, site: Column | None = None, path: Column | None = None, text_col: str = "text") -> DataFrame:
     """``row_key, doc_id, evidence, prior, quality`` of every row; ``quality`` is the probability of good quality.
 
     The evidence of each document gives the expected good ones of each path of each site, by grouped sums over all
     documents. A site's rate is shrunk toward the global rate, a path's toward its site's, by as many documents as the
     spread of rates suggests; sparse ones thus follow their parents. A document's odds are its likelihood ratio times
     the odds of its path. Null sites and paths are groups of their own; null and empty texts are judged as empty.
+
+    For documents with urls, ``site`` and ``path`` are ``urls.host`` and ``section`` of these. By default they are the
+    source and the language: tables without urls name the host as the source, and the corpus's sites have a section for
+    each language (``http://host/fr/...``).
     """
+    site, path = F.col("source") if site is None else site, F.col("lang") if path is None else path
     then = lambda b, x: pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(np.round(evidence.logit(x), 6))], names=["row_key", "doc_id", "site", "path", "logit"])
-    rows = docs.select(row_key(text_col=text_col).alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col(site).cast("string").alias("site"), F.col(path).cast("string").alias("path"), F.col(text_col).cast("binary").alias("t"))
-    rows = cut(rows.mapInArrow(_measure(4, then), "row_key long, doc_id long, site string, path string, logit double"))
+    rows = docs.select(row_key(text_col=text_col).alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), site.cast("string").alias("site"), path.cast("string").alias("path"), F.col(text_col).cast("binary").alias("t"))
+    rows = cut(rows.mapInArrow(_measure(4, then), f"row_key {KEY}, doc_id long, site string, path string, logit double"))
     millionths = F.floor(1e6 / (1 + F.exp(-F.col("logit"))) + 0.5).cast("long")  # whole numbers add up alike in any order
     paths = cut(rows.groupBy("site", "path").agg(F.count("*").alias("n"), F.sum(millionths).alias("m")).select("site", "path", "n", (F.col("m") / 1e6).alias("good")))
     sites = paths.groupBy("site").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
@@ -125,7 +139,9 @@ def score(docs: DataFrame, evidence: Evidence, site: str = "source", path: str =
     above = sites.withColumn("worth", F.lit(_worth(sites))).select(F.col("site").alias("s_"), _site_prior(sites, F.lit(rate)).alias("parent"))
     joined = paths.withColumn("worth", F.lit(_worth(paths))).join(above, F.col("site").eqNullSafe(F.col("s_")))
     priors = joined.select(F.col("site").alias("s_"), F.col("path").alias("p_"), _site_prior(joined, F.col("parent")).alias("prior"))
-    done = rows.join(priors, F.col("site").eqNullSafe(F.col("s_")) & F.col("path").eqNullSafe(F.col("p_")))
+    salted = priors.select("s_", "p_", "prior", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt_"))  # a hot path is no one task's
+    salt = F.pmod(F.xxhash64("row_key"), F.lit(SALTS)) == F.col("salt_")
+    done = rows.join(salted, F.col("site").eqNullSafe(F.col("s_")) & F.col("path").eqNullSafe(F.col("p_")) & salt)
     ratio = F.col("logit") - float(np.log(evidence.prior / (1 - evidence.prior)))
     odds = ratio + F.log(F.col("prior") / (1 - F.col("prior")))
     return done.select("row_key", "doc_id", F.round(ratio, 6).alias("evidence"), F.round("prior", 6).alias("prior"), F.round(1 / (1 + F.exp(-odds)), 6).alias("quality"))

@@ -56,9 +56,9 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), passages=substrings.WORDS)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.col("n_passage_units").alias("n_passage_words"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import KEY, cut, row_key
 from .components import components
+from .substrings import Rolling, mix, word_bounds
 
 #: Fingerprints link at so many differing bits or fewer; words of a shingle; seed of XXH64.
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -42,14 +43,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, row_key, fp`` (the fingerprint as a signed long) of every row; null counts as empty text."""
-    from .common import row_key
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in b.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["doc_id", "row_key", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("row_key"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, "doc_id long, row_key long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("row_key"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, f"doc_id long, row_key {KEY}, fp long")
 
 
 def _signed(x: int) -> int:
@@ -174,3 +173,160 @@ def near_groups(prints: DataFrame) -> DataFrame:
     least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "component").select("fp", "component", "component_id")
     return prints.join(named, "fp")
+
+
+#: Near documents: words of a shingle; the similarity of shingle sets that links; bits that estimate it, and how many may
+#: differ (39 of 256 are expected at a similarity of 0.8; the rest is slack of one standard error).
+WORDS, SIMILARITY, BITS, DIFFER = 5, 0.8, 256, 44
+#: Fingerprints of 32 bits that find candidates, and the words of their shingles: an edit changes fewer short ones.
+TABLES, SHORT = 10, 2
+#: Nodes of a key that are compared in one task; a key with more is cut into blocks, each pair of them a task.
+BLOCK = 20_000
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_NUMBERS = np.random.default_rng(8).integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SKETCH = [f"s{i}" for i in range(TABLES // 2)]
+_CHECK = [f"v{i}" for i in range(BITS // 64)]
+
+
+def majority(shingles: np.ndarray, numbers: int) -> np.ndarray:
+    """So many numbers of 64 bits: a bit is 1 if it is in more than half of the shingles' hashes for that number."""
+    if not len(shingles):
+        return np.zeros(numbers, np.uint64)
+    counts = np.zeros(64 * numbers, np.int64)
+    salts = np.arange(1, numbers + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for lo in range(0, len(shingles), 1 << 13):
+        h = mix(shingles[lo : lo + (1 << 13), None] + salts)
+        counts += np.unpackbits(h.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int32)
+    return np.packbits(2 * counts > len(shingles), bitorder="little").view(np.uint64)
+
+
+def shingled(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the distinct runs of n words; fewer words are one run."""
+    n = min(n, len(words))
+    if not n:
+        return words
+    h = np.zeros(len(words) - n + 1, np.uint64)
+    for i in range(n):
+        h = mix(h * np.uint64(0xD6E8FEB86659FD93) + words[i : len(words) - n + 1 + i] + np.uint64(n))
+    return np.unique(h)
+
+
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, row_key``, the candidates' fingerprints ``s0..`` and the estimate's bits ``v0..`` of every row; words as
+    for ``fingerprint``, null counts as empty text."""
+    names = [*_SKETCH, *_CHECK]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                offsets = np.frombuffer(b.column(2).buffers()[1], np.int32, b.num_rows + 1, b.column(2).offset * 4)
+                data = b.column(2).buffers()[2]
+                x = _LOWER[np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]] if data is not None else np.zeros(0, np.uint8)
+                ends = (offsets - offsets[0]).astype(np.int64)
+                start, end = word_bounds(x, ends)
+                words = Rolling(_NUMBERS[x])(start, end)
+                cuts = np.searchsorted(start, ends)
+                out = np.zeros((b.num_rows, len(names)), np.uint64)
+                for i, (p, q) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+                    out[i, : len(_SKETCH)] = majority(shingled(words[p:q], SHORT), len(_SKETCH))
+                    out[i, len(_SKETCH) :] = majority(shingled(words[p:q], WORDS), len(_CHECK))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c) for c in out.view(np.int64).T)], names=["doc_id", "row_key", *names])
+
+    text = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit("").cast("binary")).alias("t")
+    longs = ", ".join(f"{n} long" for n in names)
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), row_key(id_col, text_col).alias("row_key"), text).mapInArrow(run, f"doc_id long, row_key {KEY}, {longs}")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of key, those that share theirs with a neighbour; one row is held at a time."""
+    held_k, held_n, tied = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+    for b in batches:
+        k, n = (np.concatenate([held, b.column(i).to_numpy()]) for i, held in enumerate((held_k, held_n)))
+        if not len(k):
+            continue
+        same = k[1:] == k[:-1]
+        some = np.concatenate([[tied], same]) | np.append(same, False)
+        yield pa.RecordBatch.from_arrays([pa.array(k[:-1][some[:-1]]), pa.array(n[:-1][some[:-1]])], names=["key", "node"])
+        held_k, held_n, tied = k[-1:], n[-1:], bool(some[-1])
+    if tied:
+        yield pa.RecordBatch.from_arrays([pa.array(held_k), pa.array(held_n)], names=["key", "node"])
+
+
+def near_in(nodes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """For each node of a group, one of those it is connected with by links among them. Nodes are compared with all
+    others until every one outside of the largest class has been: all pairs left are inside it."""
+    label, done, x = np.arange(len(nodes)), np.zeros(len(nodes), bool), 0
+    while True:
+        near = np.bitwise_count(bits ^ bits[x]).sum(1) <= DIFFER
+        label[np.isin(label, np.unique(label[near]))] = x
+        done[x] = True
+        left = np.flatnonzero(~done & (label != np.argmax(np.bincount(label))))
+        if not len(left):
+            return nodes[label]
+        x = int(left[0])
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links ``u, v`` of rows ``key, part, node, v0..`` in order of key and part, one a node and task at most."""
+    forest, known = Forest(), set()
+
+    def settle(rows: np.ndarray) -> None:
+        if rows.shape[1] < 2:
+            return
+        nodes, bits = rows[2], np.ascontiguousarray(rows[3:].T).view(np.uint64)
+        begin = np.flatnonzero(np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(0)]))
+        size = np.diff(np.append(begin, len(nodes)))
+        two = begin[size == 2]
+        two = two[np.bitwise_count(bits[two] ^ bits[two + 1]).sum(1) <= DIFFER]
+        forest.add(nodes[two], nodes[two + 1])
+        for s, n in zip(begin[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+            group = nodes[s : s + n]
+            name = hash(group.tobytes())
+            if name not in known:
+                known.add(name)
+                if len({forest.root(i) for i in group.tolist()}) > 1:
+                    forest.add(group, near_in(group, bits[s : s + n]))
+
+    held = np.zeros((3 + len(_CHECK), 0), np.int64)
+    for b in batches:
+        rows = np.concatenate([held, np.stack([c.to_numpy() for c in b.columns])], axis=1) if b.num_rows else held
+        last = rows.shape[1] - int(np.argmin(np.append((rows[:2, ::-1] == rows[:2, -1:]).all(0), False))) if rows.shape[1] else 0
+        settle(rows[:, :last])
+        held = rows[:, last:]
+    settle(held)
+    nodes = [n for n in forest.up if forest.root(n) != n]
+    for lo in range(0, len(nodes), 50_000):
+        part = nodes[lo : lo + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([forest.root(x) for x in part], pa.int64())], names=["u", "v"])
+
+
+def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, row_key, component`` of every row: rows share a component if chains of documents lead from one to the
+    other whose sets of five-word shingles have a similarity (Jaccard) of 0.8 or more, as far as 256 bits tell.
+
+    Several short fingerprints stand for one: at that similarity 64 bits differ in about ten, far beyond what a ball can
+    hold, while 32 bits over pairs of words differ in about three. Every node, a class of rows with equal sketches, emits
+    the variants of each of its ten fingerprints within one bit (half of a radius of two); a shuffle on variants brings
+    candidates together, and what collides is verified by its estimate bits. Null counts as empty; empty texts are near
+    each other. Repeated rows share a node. No rows, no components.
+    """
+    made = cut(sketches(docs, id_col, text_col))
+    names = [*_SKETCH, *_CHECK]
+    nodes = cut(made.groupBy(*names).agg(F.count("*").alias("n")).drop("n").withColumn("node", F.monotonically_increasing_id()))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    halves = [F.shiftright(F.col(_SKETCH[t // 2]), 32 * (t % 2)).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(t << 32)) for t in range(TABLES)]
+    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b).cast("long") for b in range(32)])
+    emitted = nodes.repartition(tasks, "node").select("node", F.explode(F.array(*halves)).alias("fp"))  # few bytes that become many: not to be coalesced
+    emitted = emitted.select(F.explode(F.transform(flips, lambda f: F.col("fp").bitwiseXOR(f))).alias("key"), "node")
+    met = cut(emitted.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "key long, node long"))
+    blocks = met.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK).select("key", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    other = lambda x: F.least(x, mine) * F.col("blocks") + F.greatest(x, mine)
+    parts = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), other))
+    dealt = met.join(blocks, "key", "left").select("key", F.explode(parts).alias("part"), "node").join(nodes.select("node", *_CHECK), "node")
+    dealt = dealt.select("key", "part", "node", *_CHECK).repartition("key", "part").sortWithinPartitions("key", "part")
+    found = components(cut(dealt.mapInArrow(_verify, "u long, v long")))
+    rooted = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).select(*names, "component")
+    return made.join(rooted, names).select("doc_id", "row_key", "component")

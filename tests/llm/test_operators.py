@@ -40,24 +40,59 @@ def test_top_k_equals_brute_force(spark):
 
 def test_top_k_of_few_large_and_no_vectors(spark):
     df = vectors(spark, [(0, [1e15, -1e15], "", "", ""), (100, [1e15, 1e15], "", "", ""), (7, [2.0], "", "", ""), (7, [2.0], "", "", "")])
-    v = df.select("vec_id", F.transform("embedding", lambda e: (e / 1e8).cast("long")).alias("vec"))
+    v = df.select("vec_id", F.transform("embedding", lambda e: F.floor(e / 1e8).cast("double")).alias("vec"), F.lit("x").alias("rank"))
     got = topk.top_k(v.filter("vec_id % 100 = 0"), v, 10).collect()
     assert sorted((r["query_id"], r["vec_id"]) for r in got) == [(0, 7), (0, 7), (0, 100), (100, 0), (100, 7), (100, 7)]
     assert topk.top_k(v.limit(0), v).count() == 0 and topk.top_k(v, v.limit(0)).count() == 0
+    none = spark.createDataFrame([(0, []), (100, []), (3, [])], "vec_id long, vec array<double>")
+    assert sorted(map(tuple, topk.top_k(none.filter("vec_id = 0"), none).collect())) == [(0, 1, 3, 0), (0, 2, 100, 0)]
 
 
-def test_search_prunes_without_loss():
+def test_scores_beyond_long_are_clamped(spark):
+    """Finite components of any size take part; what exceeds a long is its largest or smallest value, and ties there."""
+    rows = [(0, [3e38, 1.0]), (100, [3e38, 2.0]), (2, [-3e38, 0.0]), (3, [1e9, 1.0]), (4, [3e-3, 5.0]), (5, [2e37, 0.0])]
+    df = vectors(spark, [(i, v, "", "", "") for i, v in rows])
+    v = df.filter(topk.usable("vec_id", "embedding")).select("vec_id", topk.quantised(F.col("embedding")).alias("vec"))
+    got = {}
+    for r in topk.top_k(v.filter("vec_id % 100 = 0"), v, 4).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    whole = {r["vec_id"]: [int(x) for x in r["vec"]] for r in v.collect()}
+    assert whole[4] == [3, 5120]
+    for q, found in got.items():
+        score = {i: min(2**63 - 1, max(-(2**63), sum(a * b for a, b in zip(whole[q], whole[i], strict=True)))) for i in whole if i != q}
+        best = sorted(score, key=lambda i: (-score[i], i))[:4]
+        assert sorted(found) == [(n + 1, i, score[i]) for n, i in enumerate(best)]
+    doubles = spark.createDataFrame([(1, [1.7e308, -1.7e308, -2.5 / 1024, 2.0**52 + 1])], "vec_id long, e array<double>").select(topk.quantised(F.col("e"))).first()[0]
+    assert doubles == [1.7976931348623157e308, -1.7976931348623157e308, -3.0, 1024 * (2.0**52 + 1)]
+
+
+def test_queries_in_many_blocks_and_small_sample(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.integers(-40, 40, size=(400, 20)).astype(float)
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, vec array<double>").repartition(5)
+    expected = {r for r in map(tuple, topk.top_k(v.filter("vec_id % 7 = 0"), v, 6).collect())}
+    for name, value in (("QUERY_BYTES", 2000), ("SEEDS", 3), ("CANDIDATES", 16), ("HELD", 50)):
+        monkeypatch.setattr(topk, name, value)
+    assert {tuple(r) for r in topk.top_k(v.filter("vec_id % 7 = 0"), v, 6).collect()} == expected
+    for q, rank, i, score in expected:
+        s = x @ x[q]
+        best = sorted((j for j in range(400) if j != q), key=lambda j: (-s[j], j))
+        assert best[rank - 1] == i and score == s[i]
+
+
+@pytest.mark.parametrize("scale", [1, 10**7, 10**12])
+def test_search_prunes_without_loss(scale):
     rng = np.random.default_rng(0)
-    x = rng.integers(-500, 500, size=(2000, 64)) * np.r_[np.full(16, 20), np.ones(48, int)]
-    for i, ids, score in topk.search_block(x[:5], np.arange(5), x, np.arange(2000), 10):
-        full = x @ x[i]
-        full[i] = -(10**15)
-        best = np.lexsort((np.arange(2000), -full))[:10]
-        assert (ids == best).all() and (score == full[best]).all()
-    huge = x[:50].astype(np.int64) * 10**12
-    for i, ids, _ in topk.search_block(huge[:2], np.arange(2), huge, np.arange(50), 3):
-        exact = huge.astype(object) @ huge[i].astype(object)
-        assert list(ids) == sorted((j for j in range(50) if j != i), key=lambda j: (-exact[j], j))[:3]
+    x = (rng.integers(-500, 500, size=(600, 64)) * np.r_[np.full(16, 20), np.ones(48, int)]).astype(float) * scale
+    whole = np.array([[int(v) for v in r] for r in x.tolist()], object)
+    floors = np.full(5, topk.LEAST)
+    for i, ids, score in topk.search_block(x[:5], np.arange(5), x, np.arange(600), 10, floors):
+        full = [min(topk.MOST, max(topk.LEAST, v)) for v in whole @ whole[i]]
+        best = sorted((j for j in range(600) if j != i), key=lambda j: (-full[j], j))[:10]
+        assert list(ids) == best and list(score) == [full[j] for j in best]
+        assert floors[i] == full[best[-1]]
+    for i, ids, _ in topk.search_block(x[:5], np.arange(5), x, np.arange(600), 10, floors.copy()):
+        assert len(ids) == 10 and floors[i] is not None
 
 
 # chat
@@ -241,6 +276,63 @@ def test_sparse_paths_are_shrunk_toward_their_site(spark):
     assert abs(rows[0]["prior"] - rows[1]["prior"]) < 0.05 and all(0.4 < r["prior"] < 0.6 for r in rows.values())
 
 
+def test_quality_of_documents_with_urls(spark):
+    ship(spark)
+    docs, labels = corpus(300, 4)
+    hosts = ["http://A.example.com/en/1", "https://a.example.com/en/2?x", "http://b.example.org/", "no url", None]
+    df = spark.createDataFrame([(*d[:5], hosts[d[0] % 5]) for d in docs], "doc_id long, text string, lang string, source string, n_chars long, url string")
+    ev = quality.fit(df, spark.createDataFrame(labels + labels, "doc_id long, quality int, toxic int"))
+    rows = {r["doc_id"]: r for r in quality.score(df, ev, urls.host(F.col("url")), quality.section(F.col("url"))).collect()}
+    assert len(rows) == 300 and rows[0]["prior"] == rows[1]["prior"] == rows[5]["prior"] and rows[2]["prior"] != rows[0]["prior"]
+    sections = df.select(quality.section(F.col("url"))).distinct().collect()
+    assert {r[0] for r in sections} == {"en", ""}
+
+
+def brute_quality(docs, ev):
+    """Priors and qualities by the formulas of the docstring, in plain Python."""
+    x = np.array([quality.features((t or "").encode()) for _, t, *_ in docs])
+    logit = np.round(ev.logit(x), 6)
+    good = np.floor(1e6 / (1 + np.exp(-logit)) + 0.5) / 1e6
+    group = {}
+    for d, g in zip(docs, good, strict=True):
+        group.setdefault((d[3], d[2]), []).append(g)
+    paths = {k: (len(v), sum(v)) for k, v in group.items()}
+    sites = {}
+    for (s, _), (n, g) in paths.items():
+        a, b = sites.get(s, (0, 0.0))
+        sites[s] = (a + n, b + g)
+
+    def worth(groups):
+        n, g = sum(a for a, _ in groups), sum(b for _, b in groups)
+        rate, k = g / n, len(groups)
+        between = (sum(b * b / a for a, b in groups) - n * rate * rate - (k - 1) * rate * (1 - rate)) / (n - sum(a * a for a, _ in groups) / n)
+        return min(1e6, max(1.0, rate * (1 - rate) / between - 1)) if between > 0 else 1e6
+
+    n, g = sum(a for a, _ in sites.values()), sum(b for _, b in sites.values())
+    top, ws, wp = (g + 1) / (n + 2), worth(list(sites.values())), worth(list(paths.values()))
+    out = []
+    for d, z in zip(docs, logit, strict=True):
+        a, b = sites[d[3]]
+        parent = (b + ws * top) / (a + ws)
+        a, b = paths[d[3], d[2]]
+        prior = (b + wp * parent) / (a + wp)
+        odds = z - np.log(ev.prior / (1 - ev.prior)) + np.log(prior / (1 - prior))
+        out.append((round(prior, 6), round(1 / (1 + np.exp(-odds)), 6)))
+    return out
+
+
+def test_quality_equals_brute_force(spark):
+    ship(spark)
+    docs, labels = corpus(400, 2)
+    docs += [(900, None, None, None, None, "x"), (901, "", "en", "lonely", 0, "x"), docs[0]]
+    df = spark.createDataFrame(docs, DOCS)
+    ev = quality.fit(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = sorted((r["doc_id"], r["prior"], r["quality"]) for r in quality.score(df, ev).collect())
+    want = sorted((d[0], *w) for d, w in zip(docs, brute_quality(docs, ev), strict=True))
+    for a, b in zip(got, want, strict=True):
+        assert a[0] == b[0] and abs(a[1] - b[1]) < 2e-6 and abs(a[2] - b[2]) < 2e-6
+
+
 # toxicity
 
 
@@ -248,7 +340,8 @@ def test_marginals_equal_enumeration():
     rng = np.random.default_rng(2)
     e, start, step = rng.normal(size=(4, 6)), rng.normal(size=2), rng.normal(size=(2, 2))
     real = np.arange(6)[None, :] < np.array([6, 4, 1, 3])[:, None]
-    p, steps = toxicity.marginals(np.where(real, e, 0), real, start, step)
+    e = np.where(real, e, 0)
+    p, steps = toxicity.marginals(e, real, start, step)
     expected_steps = np.zeros((2, 2))
     for i in range(4):
         n = real[i].sum()
@@ -265,6 +358,39 @@ def test_marginals_equal_enumeration():
     assert np.allclose(steps, expected_steps)
 
 
+@pytest.mark.parametrize("at_once", [1, 3, 1000])
+def test_blocks_hand_their_messages_on(monkeypatch, at_once):
+    """Texts in blocks of four tokens have the marginals and steps of the same texts in one piece."""
+    monkeypatch.setattr(toxicity, "AT_ONCE", at_once)
+    rng = np.random.default_rng(4)
+    lengths = np.array([11, 0, 4, 1, 30, 8, 3])
+    flat, start, step = rng.normal(size=int(lengths.sum())) * 3, rng.normal(size=2), rng.normal(size=(2, 2)) * 2
+    got = []
+    for size in (4, 32):
+        monkeypatch.setattr(toxicity, "BLOCK", size)
+        at, real, head = toxicity.blocks(lengths)
+        p, steps = toxicity.marginals(flat[at], real, start, step, True, head)
+        one = np.zeros(len(flat))
+        one[at[real]] = p[real]
+        got.append((one, steps))
+    assert np.allclose(got[0][0], got[1][0]) and np.allclose(got[0][1], got[1][1])
+
+
+def test_repeated_ids_and_a_bound_on_bytes(spark):
+    ship(spark)
+    rng = random.Random(6)
+    plain = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(200)]
+    rows = [(i, " ".join([*(rng.choice(plain) for _ in range(40)), *(["zzvile"] * 3 if i % 2 else [])])) for i in range(200)]
+    labels = [(i, i % 2) for i in range(200)]
+    docs = spark.createDataFrame(rows + rows[:50] + [(4, None), (None, "zzvile")], "doc_id long, text string")
+    lab = spark.createDataFrame(labels + labels + [(2, None), (None, 1)], "doc_id long, toxic int")
+    for model in (toxicity.fit(docs, lab), toxicity.fit(docs, lab, size=20_000)):
+        got = toxicity.score(docs, model).collect()
+        assert len(got) == 252 and all((r["score"] >= 0.5) == (r["doc_id"] % 2 == 1) for r in got if r["doc_id"] is not None)
+    again = toxicity.fit(docs.repartition(7), lab.repartition(3))
+    assert again.weights == toxicity.fit(docs, lab).weights
+
+
 def test_toxic_spans_and_scores_on_held_out_documents(spark):
     ship(spark)
     rng = random.Random(8)

@@ -3,10 +3,18 @@ import zlib
 
 import corpus_pipeline
 import pytest
-from gridloom.llm import queries
+from gridloom.llm import queries, substrings
+from gridloom.llm import common
 from gridloom.llm.common import row_key
+from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+DOCS_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def similarity(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.lower().split(), b.lower().split()))
+    return len(a & b) / len(a | b)
 
 
 @pytest.fixture(scope="module")
@@ -17,10 +25,21 @@ def tables(spark, tmp_path_factory):
     bench = [(i, text(30)) for i in range(6)]
     clean = [text(rng.randint(60, 300)) for _ in range(120)]
     junk = [" | ".join(rng.choice(vocabulary) for _ in range(80)) for _ in range(20)] + [" ".join([rng.choice(vocabulary)] * 90) for _ in range(20)]
-    passage = text(90)
+    passage = text(51)
     texts = [*clean, *junk]
+
+    def near(t, share):
+        return " ".join(rng.choice(vocabulary) if rng.random() < share else w for w in t.split(" "))
+
+    def alike(t):
+        """A near copy of a similarity of 0.8 to 0.95, as five-word shingles have it."""
+        while not 0.8 <= similarity(c := near(t, 0.015), t) <= 0.95:
+            pass
+        return c
+
     plants = {
         "copy": [clean[0], clean[0], clean[3]],
+        "near": [alike(t) for t in clean if len(t.split()) > 150],
         "dirty": [f"{text(30)} {bench[1][1]} {text(20)}"],
         "passage": [f"{text(80)} {passage} {text(80)}", f"{text(60)} {passage} {text(90)}"],
         "odd": [None, "", "word", "long " + text(30_000)],
@@ -38,6 +57,24 @@ def tables(spark, tmp_path_factory):
     return folder, clean, passage, at, docs
 
 
+def clashing(docs):
+    """Extra columns whose names the stages use inside, or nearly."""
+    names = ["_key", "_left", "_n", "__k1", "__K2", "k1", "n_tokens", "ids", "kept", "spans", "__n", "___k1", "Text2", "component", "row_key", "t", "bucket"]
+    return docs.select("*", *[F.lit(n).alias(n) for n in names]), names
+
+
+def test_stages_take_columns_with_clashing_names(spark, tables):
+    folder, *_ = tables
+    docs, names = clashing(spark.read.parquet(f"{folder}/documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        plain = stage(spark, docs.select(*DOCS_COLUMNS), folder).select("doc_id", "text").collect()
+        out = stage(spark, docs, folder)
+        kept = [n for n in names if name != "byte_bpe" or n not in ("n_tokens", "ids")]
+        rows = out.select("doc_id", "text", *kept).collect()
+        assert sorted((r["doc_id"] or -1, r["text"] or "") for r in rows) == sorted((r["doc_id"] or -1, r["text"] or "") for r in plain), name
+        assert all(r[n] == n for r in rows for n in kept), name
+
+
 def test_pipeline_catches_what_is_planted_and_keeps_the_rest(spark, tables):
     folder, clean, passage, at, docs = tables
     rows = corpus_pipeline.run(spark, folder).collect()
@@ -47,9 +84,12 @@ def test_pipeline_catches_what_is_planted_and_keeps_the_rest(spark, tables):
     assert set(range(120)) <= set(kept), "a clean document is lost"
     assert not set(range(120, 160)) & set(kept), "junk stays"
     assert not set(at["copy"] + at["dirty"]) & set(kept)
+    assert len(at["near"]) > 40 and len(set(at["near"]) & set(kept)) <= len(at["near"]) / 10, "recall of near copies under 0.9"
     for i in at["passage"]:
-        assert passage not in kept[i]["text"] and len(kept[i]["text"]) > 300 and kept[i]["n_chars"] == len(kept[i]["text"])
-    for i in range(120):
+        assert passage[:-1] not in kept[i]["text"] and len(kept[i]["text"].split()) > 140 and kept[i]["n_chars"] == len(kept[i]["text"])
+    long_ones = [i for i, t in enumerate(clean) if len(t.split()) > 150]
+    shared = {i for i, n in zip(long_ones, at["near"], strict=True) if n in kept}  # these lose what a missed copy repeats
+    for i in set(range(120)) - shared:
         assert kept[i]["text"] == clean[i] and kept[i]["n_tokens"] == len(kept[i]["ids"]) > 0
 
 
@@ -69,7 +109,7 @@ def test_queries_over_planted_tables(spark, tables):
     dirty = {r["doc_id"]: r["contaminated"] for r in queries.op10_decontaminate(spark, folder).collect()}
     assert [i for i, d in dirty.items() if d] == at["dirty"]
     bytes_ = {r["doc_id"]: r for r in queries.op3_substrings(spark, folder).collect()}
-    assert all(bytes_[i]["n_removed"] >= 400 and bytes_[i]["n_spans"] == 1 for i in at["passage"])
+    assert all(bytes_[i]["n_passage_words"] in (50, 51) for i in at["passage"])
     sharded = queries.op6_shards(spark, folder).collect()
     assert len(sharded) == len(docs) + 2 and {r["law"] for r in sharded} == {"rows"}
     truth = dict(docs)
@@ -87,3 +127,22 @@ def test_queries_over_planted_tables(spark, tables):
 def test_row_keys_name_rows_by_id_and_text(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "a"), (None, "b")], "doc_id long, text string")
     assert df.select(row_key()).distinct().count() == 4
+
+
+def test_rows_stay_apart_when_half_of_a_key_clashes(spark, monkeypatch):
+    """64 bits may clash; the other 64 still tell rows apart in removal, selection and near copies."""
+    whole = common.key_parts
+
+    def half(*names):
+        return [F.lit(1).cast("long").alias("k1"), whole(*names)[1]]
+
+    for module in (common, substrings, corpus_pipeline):
+        monkeypatch.setattr(module, "key_parts", half)
+    rng = random.Random(1)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    shared = text(60)
+    texts = [f"{text(40)} {shared}", f"{shared} {text(30)}", text(90), text(80)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate([*texts, texts[3]])], DOCS)
+    got = {r["doc_id"]: r["text"].strip() for r in corpus_pipeline.suffix_array_dedup(spark, docs, "").collect()}
+    assert got == {0: texts[0].replace(shared, "").strip(), 1: texts[1].replace(shared, "").strip(), 2: texts[2]}
+    assert sorted(r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()) == [0, 1, 2, 3]

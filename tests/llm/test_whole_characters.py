@@ -1,7 +1,7 @@
 import random
 
-import corpus_pipeline
 from gridloom.llm import substrings
+from gridloom.llm.common import ship
 
 
 def test_removal_takes_whole_characters_and_leaves_replacement_characters(spark):
@@ -10,13 +10,10 @@ def test_removal_takes_whole_characters_and_leaves_replacement_characters(spark)
     shared, own = text(80), [text(40) for _ in range(5)]
     # é and ĩ end in the same byte, é and è begin with the same one: the bytes that repeat begin and end inside characters
     texts = [f"{own[0]} � é{shared}é {own[1]}�", f"{own[2]} ĩ{shared}è {own[3]}", f"�{shared}", f"{own[4]} �"]
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
-    got = {r["doc_id"]: r for r in corpus_pipeline.suffix_array_dedup(spark, docs, "").collect()}
-    assert got[0]["text"] == f"{own[0]} �  {own[1]}�"
-    assert got[1]["text"] == f"{own[2]}  {own[3]}"
-    assert got[2]["text"] == "�"
-    assert got[3]["text"] == texts[3]
-    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+    ship(spark)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: bytes(r["kept"]).decode() for r in substrings.remove_repeats(docs, whole_characters=True).collect()}
+    assert got == {0: f"{own[0]} �  {own[1]}�", 1: f"{own[2]}  {own[3]}", 2: "�", 3: texts[3]}
 
 
 def test_spans_grow_to_characters():
