@@ -1,17 +1,17 @@
 """A training corpus from ``documents``: five stages, each written as Parquet and reread as the next one's input.
 
-The SimHash stage groups as op8 does (three-word shingles, three bits). Stages keep the columns of ``documents``, the
+The SimHash stage links documents by five-word shingles at a similarity of 0.8, the substring stage removes repeated
+strings of 50 words. Stages keep the columns of ``documents``, the
 last adds ``n_tokens`` and ``ids``. Rows with null ids and repeated rows are documents too; null text counts as empty.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
 from gridloom.llm import bpe, decontaminate, quality, simhash, substrings
-from gridloom.llm.common import cut, row_key, ship, table
+from gridloom.llm.common import fresh, key_parts, shared_folder, ship, table
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +22,18 @@ ORACLE_SQL = None
 
 
 def _only(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    names = [f"`{c}`" for c in docs.columns]
-    return docs.withColumn("_key", row_key()).join(keys.select(F.col("row_key").alias("_key")).distinct(), "_key", how).select(*names)
+    """The rows of docs whose key is (left_semi) or is not (left_anti) among the ``row_key`` of keys."""
+    names = fresh(docs, "k1", "k2")
+    keys = keys.select(F.col("row_key.k1").alias(names[0]), F.col("row_key.k2").alias(names[1])).distinct()
+    return docs.withColumns(dict(zip(names, key_parts(), strict=True))).join(keys, names, how).select(*[f"`{c}`" for c in docs.columns])
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """One of the rows that have id and text in common."""
+    *names, n = fresh(docs, "k1", "k2", "n")
+    keyed = docs.withColumns(dict(zip(names, key_parts(), strict=True)))
+    one = Window.partitionBy(*names).orderBy(F.lit(0))
+    return keyed.withColumn(n, F.row_number().over(one)).filter(F.col(n) == 1).select(*[f"`{c}`" for c in docs.columns])
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,22 +45,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of least id of each group (null ids last), once if its row is repeated."""
     ship(spark)
-    groups = simhash.near_groups(cut(simhash.fingerprints(docs)))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_key"))
-    keys = groups.groupBy("component").agg(first.alias("first")).select(F.col("first.row_key").alias("_key"))
-    kept = docs.withColumn("_key", row_key()).join(keys, "_key")
-    one = Window.partitionBy("_key").orderBy(F.lit(0))
-    return kept.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*[f"`{c}`" for c in docs.columns])
+    keys = simhash.near_documents(docs).groupBy("component").agg(first.alias("first")).select(F.col("first.row_key").alias("row_key"))
+    return _once(_only(docs, keys, "left_semi"))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated byte strings, widened to whole characters; documents of nothing else go."""
+    """Removes every word inside a string of 50 words that also starts anywhere else; documents of nothing else go."""
     ship(spark)
-    rows = substrings.remove_repeats(docs, whole_characters=True)
-    left = F.col("kept").cast("string")
-    changed = F.size("spans") > 0
-    rows = rows.withColumn("_left", F.when(changed, left)).filter(~changed | (F.length("_left") > 0))
-    new = {"text": F.coalesce("_left", "text"), "n_chars": F.when(changed, F.length("_left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
+    size, spans, kept = fresh(docs, "n_bytes", "spans", "kept")
+    rows = substrings.remove_repeats(docs, grain=substrings.WORDS, into=(size, spans, kept))
+    changed, left = F.size(spans) > 0, F.col(kept).cast("string")
+    rows = rows.filter(~changed | (F.length(F.trim(left)) > 0))
+    new = {"text": F.when(changed, left).otherwise(F.col("text")), "n_chars": F.when(changed, F.length(left).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
     return rows.withColumns(new).select(*[f"`{c}`" for c in docs.columns])
 
 
@@ -77,11 +84,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, through the session's shared folder (``spark.checkpoint.dir``)."""
-    docs = table(spark, sf_dir, "documents")
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridloom-")
+    """The stages over ``documents``, through the session's shared folder (``spark.checkpoint.dir``). A stage's folder is
+    deleted when the next stage is written; the last one is the result and stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    shared = shared_folder(spark)
     for name, stage in STAGES:
-        to = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}-{name}"
+        to = f"{shared}/pipeline-{uuid.uuid4().hex}-{name}"
         stage(spark, docs, sf_dir).write.parquet(to)
         docs = spark.read.parquet(to)
+        if before:
+            path = spark._jvm.org.apache.hadoop.fs.Path(before)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        before = to
     return docs
