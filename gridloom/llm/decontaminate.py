@@ -14,6 +14,8 @@ WINDOW, GRAM = 13, 7
 SPAN = WINDOW - GRAM + 1
 #: Bits of a place in a text below a gram's hash; bits of the filter for each fingerprint of the benchmark, at most.
 PLACE, PER_PRINT, MOST_BITS = 30, 64, 1 << 22
+#: Parts that the documents with one print, or with one window, are dealt to.
+SALTS = 8
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -71,6 +73,16 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataF
     return long.unionByName(short).distinct()
 
 
+def covered(spans: Column) -> Column:
+    """How many places the spans ``s, m`` (first place, length), in order of s, cover together."""
+
+    def add(done: Column, x: Column) -> Column:
+        end = x["s"] + x["m"]
+        return F.struct((done["n"] + F.greatest(F.lit(0), end - F.greatest(x["s"], done["end"]))).alias("n"), F.greatest(end, done["end"]).alias("end"))
+
+    return F.aggregate(spans, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), add)["n"]
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """``row_key, doc_id, n_words, n_hit, items`` of every document row.
 
@@ -110,14 +122,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     base = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row_key"), let(words(F.col(text_col)), found).alias("x"))
     base = cut(base.select("doc_id", "row_key", F.col("x.n").alias("n_words"), F.col("x.found").alias("found"))).withColumn("row", F.monotonically_increasing_id())
-    hits = base.select("row", F.explode("found").alias("f")).select("row", "f.*").join(windows.drop("item").distinct(), "print")
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))  # a common print is no one task's; the benchmark's side is repeated
+    known_windows = windows.drop("item").distinct().withColumn("salt", F.explode(salts))
+    hits = base.select("row", F.explode("found").alias("f")).select("row", "f.*").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(known_windows, ["print", "salt"])
     start = F.col("p") - F.col("off")
     hits = hits.filter((start >= F.col("from")) & (F.array_join(F.slice("near", start - F.col("from") + 1, F.col("m")), " ") == F.col("window")))
     hits = cut(hits.select("row", start.alias("s"), "m", "window").distinct())
-    spans = hits.groupBy("row").agg(F.collect_set(F.struct("s", "m")).alias("spans"))
-    covered = F.array_distinct(F.flatten(F.transform("spans", lambda x: F.sequence(x["s"], x["s"] + x["m"] - 1))))
-    items = hits.select("row", "window").distinct().join(windows.select("window", "item").distinct(), "window").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    done = base.drop("found").join(spans.select("row", F.size(covered).alias("n_hit")), "row", "left").join(items, "row", "left")
+    spans = hits.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("s", "m"))).alias("spans"))
+    holders = windows.groupBy("window").agg(F.collect_set("item").alias("of")).withColumn("salt", F.explode(salts))
+    named = hits.select("row", "window").distinct().withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(holders, ["window", "salt"])
+    items = named.groupBy("row").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("of")))).alias("items"))
+    done = base.drop("found").join(spans.select("row", covered(F.col("spans")).alias("n_hit")), "row", "left").join(items, "row", "left")
     return done.select("row_key", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
