@@ -7,9 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lower_ascii
+from .common import cut, fresh, lower_ascii
 
-#: Words of 64 bits that a cascade may hold in all; its literal is part of every task. Hashes of a level.
+#: Words of 64 bits that one cascade may hold, about; longer lists are split by a hash of the key. Hashes of a level.
 MOST_WORDS, HASHES = 1 << 17, 3
 
 
@@ -30,8 +30,12 @@ class BloomCascade:
     """Levels of bit words. Level 1 encodes the listed keys, level 2 the other keys of the universe that level 1 takes
     for listed, level 3 the listed keys that level 2 takes for these, and so on until a level errs no more."""
 
-    def __init__(self, levels: list[tuple[int, dict[int, int]]]):
-        self.levels = levels
+    def __init__(self, levels: list[tuple[int, dict[int, int]]], parts: list[BloomCascade] | None = None):
+        self.levels, self.parts = levels, parts or []
+
+    @staticmethod
+    def part_of(key: Column, parts: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(parts))
 
     @staticmethod
     def places(key: Column, level: int, bits: int) -> list[Column]:
@@ -48,6 +52,11 @@ class BloomCascade:
 
     def contains(self, key: Column) -> Column:
         """Exact for every key of the universe; null for null."""
+        if self.parts:
+            out = F.lit(None).cast("boolean")
+            for i, part in enumerate(self.parts):
+                out = F.when(self.part_of(key, len(self.parts)) == i, part.contains(key)).otherwise(out)
+            return out
         out = F.lit(len(self.levels) % 2 == 1)
         for level in reversed(range(len(self.levels))):
             out = F.when(~self.hit(key, level), F.lit(level % 2 == 1)).otherwise(out)
@@ -57,18 +66,28 @@ class BloomCascade:
     def build(cls, listed: DataFrame, universe: DataFrame) -> BloomCascade:
         """``key`` columns both; nulls and repeats are ignored, listed keys need not occur in the universe.
 
-        Keys are encoded where they are; only the words of a level come to the driver, MOST_WORDS of them at most in
-        all. A longer list is an error: split it by a hash of the key into lists with a cascade each.
+        Keys are encoded where they are; only the words of a level come to the driver. A list whose levels would have
+        more than MOST_WORDS is split by a hash of the key into as many cascades as hold it, each over its own keys.
         """
         mine = cut(listed.select("key").filter("key IS NOT NULL").distinct())
         others = cut(universe.select("key").filter("key IS NOT NULL").distinct().join(mine, "key", "left_anti"))
+        n, n_other = mine.count(), others.count()
+        parts = math.ceil(n * (cls.per_key(n, n_other) + 6) / (64 * MOST_WORDS))  # later levels have half as many keys each
+        if parts > 1:
+            of = lambda keys, i: keys.filter(cls.part_of(F.col("key"), parts) == i)
+            return cls([], [cls._encoded(of(mine, i), of(others, i)) for i in range(parts)])
+        return cls._encoded(mine, others)
+
+    @staticmethod
+    def per_key(n: int, n_other: int) -> float:
+        """Bits a listed key of the first level: its false positives are then about as many as the keys listed."""
+        return 1.5 * max(2.0, math.log2(max(2, n_other / max(1, n))))
+
+    @classmethod
+    def _encoded(cls, mine: DataFrame, others: DataFrame) -> BloomCascade:
         n_other, out = others.count(), cls([])
         while n := mine.count():
-            # the first level is as sparse as makes its false positives about as many as the keys listed
-            per_key = 1.5 * max(2.0, math.log2(max(2, n_other / n))) if not out.levels else 3.0
-            bits = 64 * max(1, math.ceil(n * per_key / 64))
-            if sum(b for b, _ in out.levels) + bits > 64 * MOST_WORDS:
-                raise ValueError("the list is too long for one cascade: split it by a hash of the key")
+            bits = 64 * max(1, math.ceil(n * (3.0 if out.levels else cls.per_key(n, n_other)) / 64))
             place = F.explode(F.array(*cls.places(F.col("key"), len(out.levels), bits)))
             words = mine.select(place.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS int))")).alias("v"))
             out.levels.append((bits, {r["w"]: r["v"] & (2**64 - 1) for r in words.collect()}))
@@ -107,4 +126,5 @@ def judge(pages: DataFrame, block: list[str], allow: list[str], url_col: str = "
     blocks, allows = (BloomCascade.build(listed(rules), universe) for rules in (block, allow))
     found = F.transform(keys, lambda k: F.struct(F.length(k).alias("n"), k.alias("rule"), F.when(allows.contains(k), F.lit("allow")).when(blocks.contains(k), F.lit("block")).alias("verdict")))
     best = F.array_max(F.filter(found, lambda f: f["verdict"].isNotNull()))
-    return keyed.withColumn("__best", best).withColumns({"rule": F.col("__best.rule"), "verdict": F.coalesce("__best.verdict", F.lit(default))}).drop("__best")
+    (name,) = fresh(keyed, "best")
+    return keyed.withColumn(name, best).withColumns({"rule": F.col(f"{name}.rule"), "verdict": F.coalesce(f"{name}.verdict", F.lit(default))}).drop(name)
