@@ -66,4 +66,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN spots USING (row) LEFT JOIN items USING (row)
 """
 
-ORACLES = {"op1_topk": TOPK, "op2_chat": CHAT, "op7_urls": URLS, "op10_decontaminate": CONTAMINATION}
+# The checksum of the text byte by byte, as SQL has no function for it; its table is made by the rule of the polynomial.
+_CRC_TABLE = """SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))"""
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: ('0x' || x)::BIGINT)),
+    lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295)"""
+
+SHARDS = f"""
+WITH tab AS ({_CRC_TABLE}), d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+s AS (SELECT doc_id, source, strlen(t)::BIGINT + 1 AS size, ({_CRC})::BIGINT AS crc FROM d, tab),
+h AS (SELECT *, md5('7|' || coalesce(doc_id::VARCHAR, '') || '|' || crc) AS h FROM s),
+r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST, crc, size) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY source) AS frac FROM h),
+p AS (SELECT *, row_number() OVER (ORDER BY frac, source NULLS FIRST, h, doc_id NULLS FIRST, crc, size) - 1 AS pos, count(*) OVER () AS n FROM r)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, (pos * 16 // n)::INTEGER AS shard,
+  (pos - ((pos * 16 // n) * n + 15) // 16)::BIGINT AS slot, NULL::INTEGER AS grown_shard FROM p
+"""
+
+ORACLES = {"op6_shards": SHARDS, "op1_topk": TOPK, "op2_chat": CHAT, "op7_urls": URLS, "op10_decontaminate": CONTAMINATION}

@@ -14,7 +14,7 @@ BUCKET, LEAST = 20_000, 64
 def interleave(rows: DataFrame, shards: int, seed: int = 7) -> DataFrame:
     """Adds ``frac, position, shard, slot`` to rows of ``doc_id, source, size, text_crc32``.
 
-    The rows of each source are shuffled by a seeded hash; the r-th of n gets the fractional rank (r + 1/2) / n. All
+    The rows of each source are shuffled by a seeded hash (MD5 of seed, id and checksum, so that SQL can say it too); the r-th of n gets the fractional rank (r + 1/2) / n. All
     rows are sorted by it and cut into ``shards`` runs whose counts differ by one at most, so each holds the sources
     in proportion, to within one row a source. A null source is a source of its own. Equal rows are interchangeable.
     An empty table gives none.
@@ -24,8 +24,10 @@ def interleave(rows: DataFrame, shards: int, seed: int = 7) -> DataFrame:
     """
     total = rows.count()
     buckets = max(LEAST, -(-total // BUCKET))
-    h = F.xxhash64(F.lit(seed), "doc_id", "text_crc32")
-    base = rows.select("doc_id", "source", "size", "text_crc32", h.alias("h"), F.pmod(h, F.lit(buckets)).alias("b"))
+    name = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_crc32").cast("string"))
+    base = rows.select("doc_id", "source", "size", "text_crc32", F.md5(name).alias("h"))
+    at = F.conv(F.substring("h", 1, 8), 16, 10).cast("long")  # buckets are ranges of the hash, so that their order is its own
+    base = base.withColumn("b", F.floor(at * buckets / 2**32).cast("long"))
     order = ("h", "doc_id", "text_crc32", "size")
     counts = base.groupBy("source", "b").agg(F.count("*").alias("c"))
     source = Window.partitionBy("source")
