@@ -20,7 +20,7 @@ from .logistic import logistic
 LABELLED, BYTES = 6000, 64 << 20
 #: Tokens of a block: texts are worked on in blocks of so many, which hand their messages on. Blocks worked on at once.
 #: Lengths of the prefixes that a token's features include.
-BLOCK, AT_ONCE, PREFIXES = 64, 16_384, (4, 5, 6, 7)
+BLOCK, AT_ONCE, PREFIXES = 64, 2048, (4, 5, 6, 7)
 #: A feature marks its tokens as toxic in toxic documents if it is in so many of these, and so much likelier there.
 SUPPORT, RATIO = 5, 12.0
 #: The least weight that a model keeps.
@@ -54,8 +54,12 @@ def transfer(psi: np.ndarray, real: np.ndarray, m: np.ndarray) -> np.ndarray:
     a, b, c, d = np.ones(psi.shape[1]), np.zeros(psi.shape[1]), np.zeros(psi.shape[1]), np.ones(psi.shape[1])
     for t in range(1, len(psi)):
         new = a * m[0, 0] + b * m[1, 0], (a * m[0, 1] + b * m[1, 1]) * psi[t], c * m[0, 0] + d * m[1, 0], (c * m[0, 1] + d * m[1, 1]) * psi[t]
-        size = np.maximum(np.maximum(new[0], new[1]), np.maximum(new[2], new[3]))
-        a, b, c, d = (np.where(real[t], x / size, old) for x, old in zip(new, (a, b, c, d), strict=True))
+        if not real[t].all():
+            new = tuple(np.where(real[t], x, old) for x, old in zip(new, (a, b, c, d), strict=True))
+        if t % 4 == 0 or t + 1 == len(psi):  # before anything can overflow
+            size = 1 / np.maximum(np.maximum(new[0], new[1]), np.maximum(new[2], new[3]))
+            new = tuple(x * size for x in new)
+        a, b, c, d = new
     return np.stack([a, b, c, d])
 
 
@@ -87,22 +91,27 @@ def marginals(emission: np.ndarray, real: np.ndarray, start: np.ndarray, step: n
     if not n:
         return p, steps
     parts = [slice(lo, lo + AT_ONCE) for lo in range(0, n, AT_ONCE)]
-    psi_of = lambda part: np.exp(np.clip(np.where(real[part], emission[part], 0), -30, 30).T)
+    psi_of = lambda part: np.exp(np.clip(np.ascontiguousarray(np.where(real[part], emission[part], 0).T), -30, 30))
     first = np.exp(np.clip(np.where(real[:, 0], emission[:, 0], 0), -30, 30))
     inner = np.ones((4, n)) if head.all() else np.concatenate([transfer(psi_of(part), real[part].T, m) for part in parts], axis=1)
     before, behind = messages(inner, first, head, start, m)
     last = np.zeros(n)
     for part in parts:
-        psi, ok = psi_of(part), real[part].T
-        r, s = np.zeros(psi.shape), np.ones(psi.shape)
+        psi, ok = psi_of(part), np.ascontiguousarray(real[part].T)
+        r, s, end = np.empty(psi.shape), np.empty(psi.shape), behind[part]
         r[0] = before[part] * psi[0]
         for t in range(1, length):
-            r[t] = (m[0, 1] + r[t - 1] * m[1, 1]) / (m[0, 0] + r[t - 1] * m[1, 0]) * psi[t]
-        s[-1] = behind[part]
+            np.divide(m[0, 1] + r[t - 1] * m[1, 1], m[0, 0] + r[t - 1] * m[1, 0], out=r[t])
+            r[t] *= psi[t]
+        s[-1] = end
+        full = ok.all(1)
         for t in range(length - 2, -1, -1):
             x = psi[t + 1] * s[t + 1]
-            s[t] = np.where(ok[t + 1], (m[1, 0] + m[1, 1] * x) / (m[0, 0] + m[0, 1] * x), behind[part])
-        p[part] = (r * s / (1 + r * s)).T
+            np.divide(m[1, 0] + m[1, 1] * x, m[0, 0] + m[0, 1] * x, out=s[t])
+            if not full[t + 1]:
+                s[t] = np.where(ok[t + 1], s[t], end)
+        both = r * s
+        p[part] = (both / (1 + both)).T
         if count:
             steps += _pairs(r[:-1][ok[1:]], (psi[1:] * s[1:])[ok[1:]], m)
             last[part] = r[-1]
@@ -115,8 +124,9 @@ def marginals(emission: np.ndarray, real: np.ndarray, start: np.ndarray, step: n
 
 def _pairs(r: np.ndarray, x: np.ndarray, m: np.ndarray) -> np.ndarray:
     """The expected number of each step, from the odds before and behind each."""
-    each = np.stack([np.full(len(r), m[0, 0]), m[0, 1] * x, m[1, 0] * r, m[1, 1] * r * x])
-    return (each / each.sum(0)).sum(1).reshape(2, 2)
+    a, b, c = m[0, 1] * x, m[1, 0] * r, m[1, 1] * r * x
+    total = 1 / (m[0, 0] + a + b + c)
+    return np.array([[m[0, 0] * total.sum(), a @ total], [b @ total, c @ total]])
 
 
 @dataclass
@@ -163,31 +173,43 @@ def train(texts: list[str], toxic: list[int], rounds: int = 80) -> Model:
     documents. Without documents of both labels, every score is low.
     """
     number: dict[str, int] = {}  # a number for each word
-    tokens, y = [[number.setdefault(w, len(number)) for w in tokens_of(t)] for t in texts], np.array(toxic, float)
-    words = list(number)
-    features = [features_of(w) for w in words]
+    tokens = [np.fromiter((number.setdefault(w, len(number)) for w in tokens_of(t)), np.int32) for t in texts]
+    y, lengths = np.array(toxic, float), np.array([len(t) for t in tokens], np.int64)
+    features = [features_of(w) for w in number]
+    number.clear()
     seen = [Counter(), Counter()]
-    for t, label in zip(tokens, toxic, strict=True):
-        seen[label].update({f for w in set(t) for f in features[w]})
+    for label in (0, 1):
+        docs, count = np.zeros(len(features), np.int64), np.flatnonzero(y == label)
+        for i in count.tolist():
+            docs[np.unique(tokens[i])] += 1
+        # a document counts once for a word, and for a prefix once for each of its words
+        for n, fs in zip(docs.tolist(), features, strict=True):
+            if n:
+                for x in fs:
+                    seen[label][x] += n
     n1, n0 = y.sum() + 1, len(y) - y.sum() + 1
     marks = {f for f, c in seen[1].items() if c >= SUPPORT and (c / n1) / ((seen[0][f] + 0.5) / n0) >= RATIO}
     ids = {f: i + 1 for i, f in enumerate(f for f, c in (seen[0] + seen[1]).items() if c >= 3 or f in marks)}
     weights, bias, start, step = np.zeros(len(ids) + 1), -3.0, np.zeros(2), np.zeros((2, 2))
+    width = 1 + len(PREFIXES)
+    f = np.array([[ids.get(x, 0) for x in fs] + [0] * (width - len(fs)) for fs in features], np.int32).reshape(-1, width)
+    marked = np.array([not marks.isdisjoint(fs) for fs in features], bool)
+    del features, seen
+    at, real, head = blocks(lengths)
+    word = np.concatenate([*tokens, np.zeros(1, np.int32)])[at]
+    del tokens
     if marks:
-        width = 1 + len(PREFIXES)
-        f = np.array([[ids.get(x, 0) for x in fs] + [0] * (width - len(fs)) for fs in features], np.int64)
-        marked = np.array([not marks.isdisjoint(fs) for fs in features])
-        at, real, head = blocks(np.array([len(t) for t in tokens], np.int64))
-        word = np.concatenate([np.array(t, np.int64) for t in tokens])[at]
-        of = np.repeat(y > 0, [-(-len(t) // BLOCK) for t in tokens])
-        want = np.where(real, marked[word] & of[:, None], 0)
-        flat, follows = want[real], np.flatnonzero(~(head[:, None] & (np.arange(BLOCK) == 0))[real])
+        want = np.where(real, marked[word] & np.repeat(y > 0, -(-lengths // BLOCK))[:, None], False)
+        flat, follows = want[real].astype(np.int8), np.flatnonzero(~(head[:, None] & (np.arange(BLOCK) == 0))[real])
         moves = np.bincount(2 * flat[follows - 1] + flat[follows], minlength=4).reshape(2, 2).astype(float)
         first = np.bincount(want[head, 0], minlength=2)
+        wanted = np.bincount(word[real], want[real], len(f))
+        places = np.where(real, word, len(f))
+        del flat, follows, want
         state = [np.zeros_like(x, dtype=float) for x in (weights, np.zeros(1), start, step) for _ in range(2)]
         for i in range(1, rounds + 1):
             p, steps = marginals((bias + weights[f].sum(1))[word], real, start, step, True, head)
-            off = np.bincount(word[real], (want - p)[real], len(words))
+            off = wanted - np.bincount(places.ravel(), p.ravel(), len(f) + 1)[:-1]
             begin = p[head, 0].sum()
             grads = [
                 np.bincount(f.ravel(), np.repeat(off, width), len(weights)) - 0.01 * weights,
@@ -202,8 +224,13 @@ def train(texts: list[str], toxic: list[int], rounds: int = 80) -> Model:
                 new.append(value + 0.1 * (state[2 * j] / (1 - 0.9**i)) / (np.sqrt(state[2 * j + 1] / (1 - 0.99**i)) + 1e-8))
             weights, bias, start, step = new[0], float(new[1][0]), new[2], new[3]
             weights[0] = 0
-    model = Model({name: float(weights[i]) for name, i in ids.items() if abs(weights[i]) > LEAST}, bias, start, step, np.zeros(5))
-    model.calibration = logistic(np.array([summary(p) for p in model.tag([[words[w] for w in t] for t in tokens], {})]).reshape(len(texts), 5), y, 0.1, -3.0)
+    weights[np.abs(weights) <= LEAST] = 0
+    model = Model({name: float(weights[i]) for name, i in ids.items() if weights[i]}, bias, start, step, np.zeros(5))
+    p = np.zeros(int(lengths.sum()))
+    if len(p):
+        p[at[real]] = marginals((bias + weights[f].sum(1))[word], real, start, step, False, head)[0][real]
+    of = np.split(p, np.cumsum(lengths)[:-1]) if len(lengths) else []
+    model.calibration = logistic(np.array([summary(x) for x in of]).reshape(len(lengths), 5), y, 0.1, -3.0)
     return model
 
 
