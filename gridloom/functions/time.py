@@ -104,3 +104,22 @@ def days_of_month(date: Column) -> Column:
 
 def hours_of_day() -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.concat(F.lpad(h.cast("string"), 2, "0"), F.lit(":00")))
+
+
+def attach_zone(ts: Column, zone: str) -> Column:
+    """A stamp without a zone, taken as wall clock there, as wall clock in UTC."""
+    return zone_to_utc(ts.cast("timestamp_ntz"), zone)
+
+
+def next_day(date: Column) -> Column:
+    return F.date_add(date, 1)
+
+
+def next_month(date: Column, n: int = 1) -> Column:
+    """The first of the n-th month after the one that the date is in."""
+    return F.add_months(F.trunc(date, "month"), n)
+
+
+def next_period(month: Column) -> Column:
+    """The month after ``YYYY-MM``, in the same form."""
+    return F.date_format(next_month(F.to_date(F.concat(month, F.lit("-01")))), "yyyy-MM")

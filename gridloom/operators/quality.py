@@ -35,22 +35,28 @@ def irregular(df: DataFrame, keys: list[str], ts: str, unit: int = 60) -> DataFr
 def availability(probes: DataFrame, zone: str = "zone", date: str = "date", hit: str = "has_data", error: str = "status") -> DataFrame:
     """One row a zone: hits, misses, errors by kind, dates with data, first and last and their years (null without hits).
 
-    Errors are counted by zone and kind first, so that a zone's map is made of few rows.
+    One scan: probes are summed up by zone and kind of error, then these few rows by zone.
     """
     d, h = F.col(date), F.coalesce(F.col(hit), F.lit(False))
-    errors = probes.filter(F.col(error).isNotNull()).groupBy(zone, error).agg(F.count("*").alias("n"))
-    errors = errors.groupBy(zone).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(error, "n")))).alias("errors"))
-    stats = probes.groupBy(zone).agg(
-        F.bool_or(h).alias("has_any_data"),
-        F.sort_array(F.collect_list(F.when(h, d))).alias("hit_dates"),
-        F.count_if(h).alias("n_hits"),
-        F.count_if(~h & F.col(error).isNull()).alias("n_misses"),
-        F.min(F.when(h, d)).alias("first_hit"),
-        F.max(F.when(h, d)).alias("last_hit"),
+    kinds = probes.groupBy(zone, F.col(error).alias("_kind")).agg(
+        F.count("*").alias("_n"),
+        F.count_if(h).alias("_hits"),
+        F.collect_list(F.when(h, d)).alias("_dates"),
+        F.min(F.when(h, d)).alias("_first"),
+        F.max(F.when(h, d)).alias("_last"),
+    )
+    error_row = F.when(F.col("_kind").isNotNull(), F.struct(F.col("_kind").alias(error), F.col("_n").alias("n")))
+    stats = kinds.groupBy(zone).agg(
+        (F.sum("_hits") > 0).alias("has_any_data"),
+        F.sort_array(F.flatten(F.collect_list("_dates"))).alias("hit_dates"),
+        F.sum("_hits").alias("n_hits"),
+        F.sum(F.when(F.col("_kind").isNull(), F.col("_n") - F.col("_hits")).otherwise(0)).alias("n_misses"),
+        F.min("_first").alias("first_hit"),
+        F.max("_last").alias("last_hit"),
+        F.map_from_entries(F.sort_array(F.collect_list(error_row))).alias("errors"),
     )
     year = lambda c: F.substring(c, 1, 4).cast("int")
-    stats = stats.withColumns({"first_year": year("first_hit"), "last_year": year("last_hit")})
-    return stats.join(errors, zone, "left").withColumn("errors", F.coalesce("errors", F.expr("cast(map() AS map<string, bigint>)")))
+    return stats.withColumns({"first_year": year("first_hit"), "last_year": year("last_hit")})
 
 
 def zone_listing(stats: DataFrame, this_year: int) -> DataFrame:

@@ -16,9 +16,11 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(right, on, how).drop(*mark.values())
 
 
-def with_dimension(facts: DataFrame, dimension: DataFrame, key: str, columns: list[str], order: list[str]) -> DataFrame:
-    """Facts with their dimension's columns, projected and sorted. Spark broadcasts the dimension if it is small."""
-    return sort_nulls_last(facts.join(dimension, key).select(*columns), *order)
+def with_dimension(facts: DataFrame, dimension: DataFrame, key: str, columns: list[str], order: list[str] | None = None) -> DataFrame:
+    """Facts with their dimension's columns, projected, and sorted if an order is given (a range shuffle of all facts).
+    Spark broadcasts the dimension if it is small."""
+    joined = facts.join(dimension, key).select(*columns)
+    return sort_nulls_last(joined, *order) if order else joined
 
 
 def sort_nulls_last(df: DataFrame, *columns: str) -> DataFrame:
@@ -83,3 +85,25 @@ def batches(ids: DataFrame, column: str, size: int) -> DataFrame:
 def missing(wanted: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``wanted`` whose keys are unknown."""
     return wanted.join(known.select(*keys).distinct(), keys, "left_anti")
+
+
+def distinct_in_order(df: DataFrame, column: str, position: str) -> DataFrame:
+    """Each value once, with the first ``position`` it is seen at; null is a value too."""
+    return df.groupBy(column).agg(F.min(position).alias(position))
+
+
+def first_match(df: DataFrame, matches: Column, position: str) -> DataFrame:
+    """The one row of least position that matches; none if none does."""
+    return df.filter(matches).orderBy(position).limit(1)
+
+
+def as_map(df: DataFrame, key: str, value: str) -> DataFrame:
+    """A small dimension as one row with one map; of repeated keys the least value, null keys drop out."""
+    once = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
+    return once.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, value)))).alias("map"))
+
+
+def members_missing(df: DataFrame, column: str, wanted: list[str]) -> list[str]:
+    """Which of the wanted values a column lacks; only the wanted ones that are there come to the driver."""
+    have = {r[0] for r in df.filter(F.col(column).isin(wanted)).select(column).distinct().collect()}
+    return [w for w in wanted if w not in have]

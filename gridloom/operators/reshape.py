@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .relational import keep_first
-
 
 def melt(df: DataFrame, ids: list[str], name: str, value: str, columns: list[str] | None = None) -> DataFrame:
     """One row for each value column, nulls included."""
@@ -16,9 +14,13 @@ def melt(df: DataFrame, ids: list[str], name: str, value: str, columns: list[str
 def hours_wide(long: DataFrame, keys: list[str], hour: str, value: str, hours: range = range(1, 25), position: list[str] | None = None) -> DataFrame:
     """A column ``Hour n`` for each hour. Repeated key and hour: the first by ``position`` counts. Groups without any
     value stay. The list of hours is fixed, so no job is needed to find it and the schema is stable."""
+    here = lambda h, c: F.when(F.col(hour) == h, c)
     if position:
-        long = keep_first(long, [*keys, hour], position)
-    return long.groupBy(*keys).agg(*[F.first(F.when(F.col(hour) == h, F.col(value)), ignorenulls=True).alias(f"Hour {h}") for h in hours])
+        order = F.struct(*[x for c in position for x in (F.col(c).isNull(), F.col(c))])
+        cells = [F.min_by(F.col(value), here(h, order)) for h in hours]
+    else:
+        cells = [F.first(here(h, F.col(value)), ignorenulls=True) for h in hours]
+    return long.groupBy(*keys).agg(*[c.alias(f"Hour {h}") for h, c in zip(hours, cells, strict=True)])
 
 
 def standardise_hourly(wide: DataFrame, date: str, hour: str, hours: range = range(1, 25), drop: str = r"(?i)unnamed: *\d+") -> DataFrame:

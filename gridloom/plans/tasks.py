@@ -122,4 +122,43 @@ def probe_dates(spark: SparkSession, zones: DataFrame, years: list[int], per_yea
         raise RequestError("one, two or three days a year")
     days = {1: ["12-15"], 2: ["03-15", "09-15"], 3: ["01-15", "06-15", "12-15"]}[per_year]  # fixed values
     dates = spark.createDataFrame([(f"{y}-{d}",) for y in years for d in days], "date string")
-    return zones.select("zone").join(dates)
+    return zones.select("zone").crossJoin(dates)
+
+
+def day_windows(plan: DataFrame, zones: DataFrame) -> DataFrame:
+    """Daily tasks by zone with what is asked for, ``period_start`` and ``period_end`` as YYYYMMDDhhmm from 00:00 to 23:59;
+    ``known`` is false where the year is before the zone's first, or the zone has none."""
+    day = F.replace("date", F.lit("-"), F.lit(""))
+    first = zones.select(F.col("zone").alias("bidding_zone"), F.col("start").alias("_start"))
+    rows = plan.join(first, "bidding_zone", "left")
+    known = F.coalesce(F.substring("date", 1, 4).cast("int") >= F.col("_start"), F.lit(False))
+    return rows.withColumns({"period_start": F.concat(day, F.lit("0000")).cast("long"), "period_end": F.concat(day, F.lit("2359")).cast("long"), "known": known}).drop("_start")
+
+
+def file_lookup(listing: DataFrame) -> DataFrame:
+    """``temporal_resolution, date, id, name`` of a folder listing ``temporal_resolution, position, kind, id, name``: the
+    months that a file's name holds, one or every one from the first to the second. A later file replaces an earlier one
+    of a month; folders are left out, and a file name with no month, or more than two, is an error when it is read."""
+    from ..operators.relational import keep_first
+    from ..sources.readers import months_in_name
+
+    name = F.col("name")
+    found = F.regexp_count(name, F.lit(r"\d{4}-\d{2}(?=[^0-9])"))
+    months = F.when(found.isin(1, 2), months_in_name(name)).otherwise(F.raise_error(F.concat(F.lit("no month or too many in "), name)))
+    rows = listing.filter("kind = 'file'").select("temporal_resolution", F.explode(months).alias("date"), "position", "id", "name")
+    return keep_first(rows.withColumn("_late", -F.col("position")), ["temporal_resolution", "date"], ["_late"]).drop("_late", "position")
+
+
+def find_files(plan: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Tasks with the ``id`` and ``name`` of the file that holds them; ``kind`` is ``missing`` where there is none, as
+    ``outcome`` takes it, else null."""
+    rows = plan.join(lookup, ["temporal_resolution", "date"], "left")
+    return rows.withColumn("kind", F.when(F.col("id").isNull(), F.lit("missing")))
+
+
+def stored_as(plan: DataFrame, seen: DataFrame) -> DataFrame:
+    """Tasks with the resolution that their data turned out to have (``identifier, temporal_resolution``), for the path
+    they are written to; the identifier, by which their state is kept, stays that of the plan."""
+    actual = seen.select("identifier", F.col("temporal_resolution").alias("_actual"))
+    rows = plan.join(actual, "identifier", "left").withColumn("temporal_resolution", F.coalesce("_actual", "temporal_resolution"))
+    return rows.select(*plan.columns)

@@ -37,20 +37,20 @@ def default_levels(pressure: list | None, model: list | None) -> tuple[list | No
 def era5_plan(spark: SparkSession, years: list[int], today: dt.date, pressure: list | None = None, model: list | None = None, first: int = 1940) -> DataFrame:
     pressure, model = default_levels(pressure, model)
     kinds = ["single", *(["pressure"] if pressure else []), *(["model"] if model else [])]
-    return months(spark, years, today, first).join(_values(spark, "level_type", kinds)).select("year", "month", "level_type")
+    return months(spark, years, today, first).crossJoin(_values(spark, "level_type", kinds)).select("year", "month", "level_type")
 
 
 def barra_plan(spark: SparkSession, years: list[int], today: dt.date, single: list[str], pressure: list[str], levels: list[int], invariant: list[str], model: str) -> DataFrame:
     """Invariant fields once, then single-level, then pressure-level tasks; ``ord`` gives that order."""
     m = months(spark, years, today, tables.BARRA_MODELS[model][3])
     fixed = _values(spark, "variable", invariant).select(F.lit(0).alias("ord"), F.lit("fx").alias("year"), F.lit("fx").alias("month"), "variable", F.lit("").alias("level"))
-    flat = m.join(_values(spark, "variable", single)).select(F.lit(1).alias("ord"), "year", "month", "variable", F.lit("").alias("level"))
-    deep = m.join(_values(spark, "variable", pressure)).join(_values(spark, "level", levels)).select(F.lit(2).alias("ord"), "year", "month", "variable", "level")
+    flat = m.crossJoin(_values(spark, "variable", single)).select(F.lit(1).alias("ord"), "year", "month", "variable", F.lit("").alias("level"))
+    deep = m.crossJoin(_values(spark, "variable", pressure)).crossJoin(_values(spark, "level", levels)).select(F.lit(2).alias("ord"), "year", "month", "variable", "level")
     return fixed.unionByName(flat).unionByName(deep)
 
 
 def icon_plan(spark: SparkSession, years: list[int], today: dt.date, variables: list[str], first: int = 2010) -> DataFrame:
-    return months(spark, years, today, first).join(_values(spark, "variable", variables)).select("year", "month", "variable")
+    return months(spark, years, today, first).crossJoin(_values(spark, "variable", variables)).select("year", "month", "variable")
 
 
 def short_codes(df: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -93,7 +93,8 @@ def era5_path(codes: list[str], levels: list[str] | None, every: list[str]) -> C
 
 def era5_requests(plan: DataFrame, codes: list[str], pressure: list[str] | None, model: list[str] | None, area: list[float] | None = None) -> DataFrame:
     """Adds ``dataset`` and ``request``, JSON for the archive's interface: lists of days and hours for single and
-    pressure levels, slash-separated ranges for model levels."""
+    pressure levels, slash-separated ranges for model levels. The key of the level type is ``leveltype``, as in the
+    requests that this replaces; the archive's own documentation calls it ``levtype``."""
     first = F.to_date(F.concat_ws("-", "year", "month", F.lit("01")))
     days = tf.days_of_month(first)
     range_ = F.concat(F.date_format(first, "yyyy-MM-dd"), F.lit("/to/"), F.date_format(F.last_day(first), "yyyy-MM-dd"))
@@ -101,7 +102,7 @@ def era5_requests(plan: DataFrame, codes: list[str], pressure: list[str] | None,
     common = [F.lit("reanalysis").alias("product_type"), texts(codes).alias("variable"), F.array("year").alias("year"), F.array("month").alias("month"), days.alias("day"), tf.hours_of_day().alias("time"), F.lit("grib").alias("data_format"), F.lit("unarchived").alias("download_format")]
     box = [texts(area).alias("area")] if area else []
     single, deep = F.to_json(F.struct(*common, *box)), F.to_json(F.struct(*common, texts(pressure or []).alias("pressure_level"), *box))
-    mars = [F.lit("ea").alias("class"), range_.alias("date"), F.lit("1").alias("expver"), F.lit("/".join(model or [])).alias("levellist"), F.lit("ml").alias("levtype"), F.lit("/".join(codes)).alias("param"), F.lit("oper").alias("stream"), F.lit("/".join(f"{h:02d}:00:00" for h in range(24))).alias("time"), F.lit("an").alias("type")]
+    mars = [F.lit("ea").alias("class"), range_.alias("date"), F.lit("1").alias("expver"), F.lit("/".join(model or [])).alias("levellist"), F.lit("ml").alias("leveltype"), F.lit("/".join(codes)).alias("param"), F.lit("oper").alias("stream"), F.lit("/".join(f"{h:02d}:00:00" for h in range(24))).alias("time"), F.lit("an").alias("type")]
     mars += [F.lit("/".join(map(str, area))).alias("area")] if area else []
     kind = F.col("level_type")
     return plan.withColumns(
@@ -116,3 +117,12 @@ def barra_variables(chosen: list[str] | None, defaults: list[str], of_model: lis
     """Given names, or the defaults that the model has, with the invariant fields; each once, in order."""
     names = chosen or [v for v in defaults if v in set(of_model)]
     return list(dict.fromkeys([*names, *invariant]))
+
+
+def variables_by_level(plan: DataFrame, names: list[str], catalogue: DataFrame) -> DataFrame:
+    """Adds ``variables`` and ``codes`` to tasks: those of the names that the task's level type has, in the order given.
+    Tasks without any are left out: there is nothing to ask for."""
+    wanted = plan.sparkSession.createDataFrame([(i, n) for i, n in enumerate(dict.fromkeys(names))], "i int, variable string")
+    of = wanted.join(catalogue.select("variable", "code", "level_type"), "variable").groupBy("level_type").agg(F.sort_array(F.collect_list(F.struct("i", "variable", "code"))).alias("v"))
+    take = lambda field: F.transform("v", lambda x: x[field])
+    return plan.join(of, "level_type").select(*plan.columns, take("variable").alias("variables"), take("code").alias("codes"))

@@ -14,11 +14,19 @@ from ..functions import text
 from ..functions import time as tf
 from ..operators import contracts, quality, relational, reshape
 
-_TS, _RES = "time_series.", "time_series.mkt_psrtype.power_system_resources."
-
 # The columns of each source.
 COLUMNS = {
-    "entsoe": ["timestamp", f"{_RES}name", f"{_RES}m_rid.value", f"{_TS}mkt_psrtype.psr_type", f"{_RES}nominal_p", f"{_TS}period.point.quantity", f"{_TS}period.point.secondary_quantity", f"{_TS}quantity_measure_unit_name", f"{_TS}period.resolution"],
+    "entsoe": [
+        "timestamp",
+        "time_series.mkt_psrtype.power_system_resources.name",
+        "time_series.mkt_psrtype.power_system_resources.m_rid.value",
+        "time_series.mkt_psrtype.psr_type",
+        "time_series.mkt_psrtype.power_system_resources.nominal_p",
+        "time_series.period.point.quantity",
+        "time_series.period.point.secondary_quantity",
+        "time_series.quantity_measure_unit_name",
+        "time_series.period.resolution",
+    ],
     "aemo": "timestamp code name network_id network_region description location unit_code unit_fueltech_id unit_status_id unit_dispatch_type unit_capacity_registered unit_capacity_maximum unit_capacity_storage unit_data_first_seen unit_data_last_seen unit_commencement_date value".split(),
     "aeso": ["Date (MST)", "Date (MPT)", "Asset Short Name", "Asset Name", "Asset Grouping", "Volume", "Maximum Capability", "System Capability", "Fuel Type", "Sub Fuel Type", "Planning Area", "Region"],
     "cen": "id_opreal llave_opreal id_central central gen_real_mw fecha_hora hora potencia_maxima id_propietario propietario id_coordinado coordinado tipo_tecnologia subtipo_tecnologia factor_ernc alcance valor_ernc".split(),
@@ -35,17 +43,22 @@ REGIONS = {"rei": ["hokkaido", "tohoku", "tokyo", "chubu", "hokuriku", "kansai",
 NETWORKS, FIRST_YEAR = {"NEM": 10, "WEM": 8, "AU": 10}, 1998
 
 
+def _in_order(ordered: bool, df: DataFrame, *columns: str) -> DataFrame:
+    """Sorted, for a month or a day that is written as one file; a table of years has no use for a global sort."""
+    return relational.sort_nulls_last(df, *columns) if ordered else df
+
+
 def entsoe_records(series: DataFrame, keep: list[str]) -> DataFrame:
     """``period_start, resolution_minutes, points array<struct<position,quantity>>`` to stamped rows of points."""
     rows = series.select(*keep, "period_start", "resolution_minutes", F.inline("points"))
     return rows.withColumn("timestamp", F.col("period_start") + F.make_dt_interval(mins=((F.col("position") - 1) * F.col("resolution_minutes")).cast("int"))).drop("period_start")
 
 
-def entsoe(df: DataFrame) -> DataFrame:
+def entsoe(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Rows with a production type and a unit's name or code, by time and name."""
     name, code, kind = COLUMNS["entsoe"][1:4]
     df = contracts.project(df, COLUMNS["entsoe"], "entsoe").filter(F.col(f"`{kind}`").isNotNull())
-    return relational.sort_nulls_last(df.filter(F.col(f"`{name}`").isNotNull() | F.col(f"`{code}`").isNotNull()), "timestamp", name)
+    return _in_order(ordered, df.filter(F.col(f"`{name}`").isNotNull() | F.col(f"`{code}`").isNotNull()), "timestamp", name)
 
 
 def aemo_units(facilities: DataFrame) -> DataFrame:
@@ -70,27 +83,27 @@ def aemo_offsets(network_id):
     return out
 
 
-def aemo(facts: DataFrame, units: DataFrame) -> DataFrame:
+def aemo(facts: DataFrame, units: DataFrame, ordered: bool = True) -> DataFrame:
     """Readings with their unit's columns; units without readings and readings of unknown units drop out."""
     joined = facts.select("timestamp", "unit_code", "value").join(units.withColumnRenamed("unit_unit_code", "unit_code"), "unit_code")
-    return relational.sort_nulls_last(contracts.project(joined, COLUMNS["aemo"], "aemo"), "timestamp")
+    return _in_order(ordered, contracts.project(joined, COLUMNS["aemo"], "aemo"), "timestamp")
 
 
 def aemo_active(units: DataFrame, year: int) -> DataFrame:
     return units.filter(F.col("start_year") <= year)
 
 
-def aeso(df: DataFrame, year: int, month: int) -> DataFrame:
+def aeso(df: DataFrame, year: int, month: int, ordered: bool = True) -> DataFrame:
     """A month by local time; a stamp that cannot be read ends the job."""
     df = contracts.require(df, COLUMNS["aeso"], "aeso")
     raw = F.col("`Date (MPT)`")
     at = F.coalesce(F.try_to_timestamp(raw, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(raw), F.raise_error(F.concat(F.lit("no time: "), F.coalesce(raw, F.lit("null")))).cast("timestamp"))
     rows = df.withColumn("_at", at.cast("timestamp_ntz")).filter(tf.in_month(F.col("_at"), year, month)).drop("_at")
-    return relational.sort_nulls_last(rows, "Date (MST)", "Date (MPT)", "Asset Short Name")
+    return _in_order(ordered, rows, "Date (MST)", "Date (MPT)", "Asset Short Name")
 
 
-def cen(df: DataFrame) -> DataFrame:
-    return relational.sort_nulls_last(contracts.require(df, COLUMNS["cen"], "cen"), "fecha_hora")
+def cen(df: DataFrame, ordered: bool = True) -> DataFrame:
+    return _in_order(ordered, contracts.require(df, COLUMNS["cen"], "cen"), "fecha_hora")
 
 
 def eat(df: DataFrame) -> DataFrame:
@@ -104,22 +117,22 @@ def eat_long(df: DataFrame, zone: str = "Pacific/Auckland") -> DataFrame:
     return long.withColumns({"period": F.substring("period", 3, 2).cast("int"), "start": tf.period_starts(F.to_date("trading_date"), F.substring("period", 3, 2).cast("int"), zone)})
 
 
-def eia(df: DataFrame, end: str) -> DataFrame:
+def eia(df: DataFrame, end: str, ordered: bool = True) -> DataFrame:
     """A day from an inclusive range: the first hour of the next, ``end``, goes."""
     df = contracts.require(df, COLUMNS["eia"], "eia")
-    return relational.sort_nulls_last(df.filter(relational.differs(F.col("period"), end)), "period", "respondent", "fueltype")
+    return _in_order(ordered, df.filter(relational.differs(F.col("period"), end)), "period", "respondent", "fueltype")
 
 
 def epias(*batches: DataFrame) -> DataFrame:
     return contracts.require(relational.union_by_name(*batches), COLUMNS["epias"], "epias")
 
 
-def ieso(df: DataFrame, year: int, month: int, capability: DataFrame | None = None) -> DataFrame:
+def ieso(df: DataFrame, year: int, month: int, capability: DataFrame | None = None, ordered: bool = True) -> DataFrame:
     """A month without forecasts (a null measurement stays), with the capabilities, by date, generator, measurement."""
     df = relational.union_by_name(df, capability) if capability is not None else df
     df = contracts.require(df, COLUMNS["ieso"], "ieso").filter(relational.differs(F.col("Measurement"), "Forecast"))
     rows = df.filter(tf.in_month(F.to_timestamp_ntz(F.col("`Delivery Date`"), F.lit("yyyy-MM-dd")), year, month))
-    return relational.sort_nulls_last(rows, "Delivery Date", "Generator", "Measurement")
+    return _in_order(ordered, rows, "Delivery Date", "Generator", "Measurement")
 
 
 def ieso_yearly(wide: DataFrame, measurement: str) -> DataFrame:
@@ -146,8 +159,7 @@ def adme(long: DataFrame, year: int, month: int, fuels: list[str] | None = None)
 
 def adme_require(long: DataFrame) -> DataFrame:
     """Fails if a fuel is missing altogether."""
-    have = {r[0] for r in long.select("group").distinct().limit(100).collect()}
-    if lacking := [f for f in FUELS["adme"][1:] if f not in have]:
+    if lacking := relational.members_missing(long, "group", FUELS["adme"][1:]):
         raise ContractError(f"adme lacks {lacking}")
     return long
 

@@ -145,6 +145,27 @@ def links_in_page(html: Column, pattern: str = r'href="([A-Z0-9_]+)/"') -> Colum
     return F.array_distinct(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)))
 
 
+def variables_in_page(html: Column, fallback: list[str], pattern: str = r'href="([A-Z0-9_]+)/"') -> Column:
+    """What a directory page links to, sorted; the fallback where it is null or links to nothing."""
+    found = F.array_sort(links_in_page(html, pattern))
+    return F.when(F.size(found) > 0, found).otherwise(F.array(*[F.lit(v) for v in sorted(fallback)]))
+
+
+def fetch_batches(ids: DataFrame, column: str, size: int, fetch: Callable, schema: str) -> DataFrame:
+    """Rows of a bulk lookup: ``fetch(ids)`` is called once for each of the near-equal batches, a task each, and gives
+    tuples of the schema. Null ids are not asked for."""
+    from ..operators.relational import batches
+
+    def run(pdf):
+        import pandas as pd
+
+        names = [f.split()[0] for f in schema.split(",")]
+        return pd.DataFrame(list(fetch(sorted(pdf[column].tolist()))), columns=names)
+
+    dealt = batches(ids.filter(F.col(column).isNotNull()).select(column).distinct(), column, size)
+    return dealt.groupBy("batch").applyInPandas(run, schema)
+
+
 class _Slice(InputPartition):
     def __init__(self, key, start: int | None):
         self.key, self.start = key, start

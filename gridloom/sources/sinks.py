@@ -22,12 +22,29 @@ def save(df: DataFrame, path: str, kind: str = "csv", keys: list[str] | None = N
     (w.option("header", True) if kind == "csv" else w).format(kind).save(path)
 
 
-def split_by_resolution(df: DataFrame, column: str, path: str, kind: str = "csv") -> None:
-    """Drops rows without a resolution, names it (PT60M: 1h) and writes a partition for each."""
+def split_by_resolution(df: DataFrame, column: str, path: str, kind: str = "csv") -> int:
+    """Drops rows without a resolution, names it (PT60M: 1h) and writes a partition for each. Returns how many rows were
+    dropped, as the writing job counted them."""
+    from pyspark.sql import Observation
+
     from ..functions.time import from_iso_duration
 
-    c = F.col(f"`{column}`")
-    save(df.filter(c.isNotNull()).withColumn("temporal_resolution", from_iso_duration(c)), path, kind, ["temporal_resolution"])
+    c, seen = F.col(f"`{column}`"), Observation()
+    counted = df.observe(seen, F.count_if(c.isNull()).alias("dropped"))
+    save(counted.filter(c.isNotNull()).withColumn("temporal_resolution", from_iso_duration(c)), path, kind, ["temporal_resolution"])
+    return seen.get["dropped"]
+
+
+def save_by_step(rows: DataFrame, keys: list[str], time: str, path: str, kind: str = "json") -> None:
+    """Routes each series to a partition by the resolution that its commonest step shows; a series of no known
+    resolution is an error."""
+    from ..functions.time import from_minutes
+    from ..operators.quality import mode_gap
+    from ..operators.relational import join_null_safe
+
+    step = mode_gap(rows, keys, time, unit=1)
+    named = F.coalesce(from_minutes(F.col("gap") / 60), F.raise_error(F.concat(F.lit("no resolution of "), F.col("gap").cast("string"), F.lit(" seconds"))))
+    save(join_null_safe(rows, step.select(*keys, named.alias("temporal_resolution")), keys), path, kind, ["temporal_resolution"])
 
 
 def task_path(*, zone: bool = True):
