@@ -267,7 +267,7 @@ slope_of_sub_gridscale_orography slor single
 land_sea_mask lsm single
 potential_vorticity pv pressure
 relative_humidity r pressure
-geopotential z single pressure model
+geopotential z pressure model
 specific_rain_water_content crwc pressure model
 specific_snow_water_content cswc pressure model
 temperature t pressure model
@@ -281,6 +281,7 @@ ozone_mass_mixing_ratio o3 pressure model
 specific_cloud_liquid_water_content clwc pressure model
 specific_cloud_ice_water_content ciwc pressure model
 fraction_of_cloud_cover cc pressure model
+eta-coordinate_vertical_velocity etadot model
 logarithm_of_surface_pressure lnsp model
 """
 
