@@ -252,22 +252,22 @@ total_precipitation tp single
 evaporation e single
 total_cloud_cover tcc single
 surface_solar_radiation_downwards ssrd single
-lake_cover cl single
-lake_depth dl single
-low_vegetation_cover cvl single
-high_vegetation_cover cvh single
-type_of_low_vegetation tvl single
-type_of_high_vegetation tvh single
-soil_type slt single
-standard_deviation_of_filtered_subgrid_orography sdfor single
-standard_deviation_of_orography sdor single
-anisotropy_of_sub_gridscale_orography isor single
-angle_of_sub_gridscale_orography anor single
-slope_of_sub_gridscale_orography slor single
-land_sea_mask lsm single
+lake_cover cl invariant
+lake_depth dl invariant
+low_vegetation_cover cvl invariant
+high_vegetation_cover cvh invariant
+type_of_low_vegetation tvl invariant
+type_of_high_vegetation tvh invariant
+soil_type slt invariant
+standard_deviation_of_filtered_subgrid_orography sdfor invariant
+standard_deviation_of_orography sdor invariant
+anisotropy_of_sub_gridscale_orography isor invariant
+angle_of_sub_gridscale_orography anor invariant
+slope_of_sub_gridscale_orography slor invariant
+land_sea_mask lsm invariant
 potential_vorticity pv pressure
 relative_humidity r pressure
-geopotential z pressure model
+geopotential z invariant pressure model
 specific_rain_water_content crwc pressure model
 specific_snow_water_content cswc pressure model
 temperature t pressure model

@@ -39,12 +39,17 @@ def csv_two_headers(spark: SparkSession, path: str, time: str = "time", sep: str
     Empty group cells repeat the one before. Only the two header lines come to the driver.
     """
     head = [r["value"] for r in spark.read.text(path).limit(2).collect()]
-    groups, names = (next(csv.reader([line], delimiter=sep)) for line in head)
+    raw = [next(csv.reader([line], delimiter=sep)) for line in head]
+    groups, names = [*raw[0]], raw[1]
     for i, g in enumerate(groups):
         groups[i] = g.strip() or (groups[i - 1] if i else "")
     columns = [f"c{i}" for i in range(len(names))]
     rows = spark.read.csv(path, sep=sep, schema=", ".join(f"{c} string" for c in columns))
-    rows = rows.filter(~(F.col("c0").eqNullSafe(F.lit(groups[0])) | F.col("c0").eqNullSafe(F.lit(names[0]))))
+    for line in raw:  # the header lines stand among the rows, with nulls for their empty cells
+        same = F.lit(True)
+        for c, cell in zip(columns, line, strict=True):
+            same &= F.col(c).eqNullSafe(F.lit(cell or None))
+        rows = rows.filter(~same)
     pairs = F.array(*[F.struct(F.lit(g).alias("group"), F.lit(n).alias("name"), F.col(c).alias("value")) for g, n, c in list(zip(groups, names, columns, strict=True))[1:]])
     return rows.select(F.col("c0").alias(time), F.inline(pairs))
 

@@ -32,7 +32,7 @@ def test_pairs_and_merge(tmp_path):
         ("weather era5 --years 2024 --today 2025-01-01 --model-levels --requests --area 10 0 -10 20", 24),
         ("weather era5 --years 2024 --today 2025-01-01 --variables 2t --pressure-levels --requests", 12),
         ("variables barra", 127),
-        ("variables era5", 60),
+        ("variables era5", 61),
         ("variables icon", 25),
     ],
 )
