@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 
 _shipped: set[str] = set()
+_folders: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -42,6 +44,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like cut, as a table of columns: for what is read more than once, or in part. Row order and the number of
+    partitions are not kept."""
+    to = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(to)
+    return df.sparkSession.read.schema(df.schema).parquet(to)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,7 +59,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and the executors share")
-    return tempfile.mkdtemp(prefix="gridloom-")
+    if spark.sparkContext.applicationId not in _folders:
+        _folders[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="gridloom-")
+    return _folders[spark.sparkContext.applicationId]
 
 
 def key_parts(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:

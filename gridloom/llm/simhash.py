@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, cut, row_key
+from .common import KEY, cut, row_key, stored
 from .components import components
 from .substrings import Rolling, mix, word_bounds
 
@@ -312,15 +312,15 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     candidates together, and what collides is verified by its estimate bits. Null counts as empty; empty texts are near
     each other. Repeated rows share a node. No rows, no components.
     """
-    made = cut(sketches(docs, id_col, text_col))
+    made = stored(sketches(docs, id_col, text_col))
     names = [*_SKETCH, *_CHECK]
-    nodes = cut(made.groupBy(*names).agg(F.count("*").alias("n")).drop("n").withColumn("node", F.monotonically_increasing_id()))
+    nodes = stored(made.groupBy(*names).agg(F.count("*").alias("n")).drop("n").withColumn("node", F.monotonically_increasing_id()))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     halves = [F.shiftright(F.col(_SKETCH[t // 2]), 32 * (t % 2)).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(t << 32)) for t in range(TABLES)]
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b).cast("long") for b in range(32)])
     emitted = nodes.repartition(tasks, "node").select("node", F.explode(F.array(*halves)).alias("fp"))  # few bytes that become many: not to be coalesced
     emitted = emitted.select(F.explode(F.transform(flips, lambda f: F.col("fp").bitwiseXOR(f))).alias("key"), "node")
-    met = cut(emitted.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "key long, node long"))
+    met = stored(emitted.repartition("key").sortWithinPartitions("key").mapInArrow(_met, "key long, node long"))
     blocks = met.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK).select("key", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
     other = lambda x: F.least(x, mine) * F.col("blocks") + F.greatest(x, mine)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, fresh, key_parts
+from .common import fresh, key_parts, stored
 
 #: Units worked on at once; suffixes that a task merges at once; suffixes that a range holds, as estimated beforehand;
 #: sampled suffixes for each range.
@@ -351,7 +351,7 @@ def sort_suffixes(source: DataFrame, emit: Callable, rows: int, expected: int) -
     seen = np.unique(np.array([tuple(r) for r in some], np.int64).reshape(-1, 5), axis=0)
     splitters = seen[np.unique(np.linspace(0, len(seen), ranges + 1).astype(int)[1:-1])] if len(seen) >= ranges else seen
     dealt = source.mapInArrow(_dealt(emit, splitters), schema).repartitionById(len(splitters) + 1, F.col("part"))
-    found = cut(dealt.mapInArrow(_sorted_range, _SORTED))
+    found = stored(dealt.mapInArrow(_sorted_range, _SORTED))
     across = found.filter("edge").groupBy("t0", "t1", "t2").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a < b")
     across = across.select("t0", "t1", "t2", F.lit(True).alias("on"))  # one a boundary at most, so it may be broadcast
     done = found.join(F.broadcast(across), ["t0", "t1", "t2"], "left")
@@ -400,7 +400,7 @@ def repeated_windows(keyed: DataFrame, grain: Grain, rows: int, size: int) -> li
     first = sort_suffixes(keyed, _each(anchor_suffixes, grain, 2048), rows, size // 80)
     listed = first.filter("open").groupBy("k1", "k2").agg(F.collect_list("pos").alias("los"))
     once = keyed.join(listed, ["k1", "k2"]).withColumn("copy", F.expr("row_number() OVER (PARTITION BY k1, k2 ORDER BY 1)")).filter("copy = 1")  # equal rows hold one text
-    contexts = cut(once.select("k1", "k2", "text", "los").mapInArrow(_contexts(grain), "k1 long, k2 long, pos long, text binary"))
+    contexts = stored(once.select("k1", "k2", "text", "los").mapInArrow(_contexts(grain), "k1 long, k2 long, pos long, text binary"))
     n = contexts.count()
     second = sort_suffixes(contexts, _each(piece_suffixes, grain, 2048), n, n * 4)
     listed = second.filter("open").withColumn("at", _first_window(F.col("pos"))).groupBy("k1", "k2", "at").agg(F.collect_list("pos").alias("pieces"))
