@@ -354,9 +354,10 @@ def sort_suffixes(source: DataFrame, emit: Callable, rows: int, expected: int) -
     found = stored(dealt.mapInArrow(_sorted_range, _SORTED))
     across = found.filter("edge").groupBy("t0", "t1", "t2").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a < b")
     across = across.select("t0", "t1", "t2", F.lit(True).alias("on"))  # one a boundary at most, so it may be broadcast
-    done = found.join(F.broadcast(across), ["t0", "t1", "t2"], "left")
-    is_open = F.col("lead") & (F.col("mixed") | F.coalesce("on", F.lit(False)))
-    return done.select("k1", "k2", "pos", "repeats", is_open.alias("open")).filter("repeats OR open")
+    inside = found.filter("NOT edge").select("k1", "k2", "pos", "repeats", (F.col("lead") & F.col("mixed")).alias("open"))
+    ends = found.filter("edge").join(F.broadcast(across), ["t0", "t1", "t2"], "left")
+    ends = ends.select("k1", "k2", "pos", "repeats", (F.col("lead") & (F.col("mixed") | F.coalesce("on", F.lit(False)))).alias("open"))
+    return inside.unionByName(ends).filter("repeats OR open")
 
 
 def _contexts(grain: Grain) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
