@@ -29,7 +29,8 @@ def reconstruct(events: DataFrame) -> DataFrame:
     Events apply in order of ``seq`` (ties: by text). A message, edit or regeneration replaces what its turn holds, a
     delta appends. A regeneration also drops every event of later turns that came before it. Null text is empty, a null
     kind is a message, a null role or turn keeps out of the way: the role is the last one given (else empty), the null
-    turn comes first. Null conversation ids form one conversation. No events, no messages.
+    turn comes first. Null conversation ids form one conversation. No events, no messages. A conversation is folded in one
+    task, sorted and spilled by Spark, and its rendered text is one string: a conversation is bounded by what a row holds.
     """
     e = events.select(
         "conv_id",

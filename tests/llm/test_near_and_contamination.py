@@ -148,3 +148,81 @@ def test_null_ids(spark):
     rows = frame(spark, [(None, "a b c d"), (None, "a b c d"), (7, "a b c d"), (None, "other words are here")])
     got = simhash.near_groups(simhash.fingerprints(rows)).orderBy(F.col("component_id").asc_nulls_last()).collect()
     assert [r["component_id"] for r in got] == [7, 7, 7, None]
+
+
+def connected(fps):
+    """Labels of the classes that links of three bits or fewer make of distinct fingerprints."""
+    fps, label, seen = np.array(fps, np.uint64), np.full(len(fps), -1), 0
+    for i in range(len(fps)):
+        if label[i] < 0:
+            label[i], edge = seen, [i]
+            while edge:
+                near = np.flatnonzero((np.bitwise_count(fps ^ fps[edge.pop()]) <= 3) & (label < 0))
+                label[near] = seen
+                edge += near.tolist()
+            seen += 1
+    return label
+
+
+def test_components_of_groups_too_large_for_pairs(spark):
+    """More than 512 fingerprints share a key: classes are still those of all pairs, through the whole operator."""
+    ship(spark)
+    rng = random.Random(12)
+    fps = set()
+    for block in simhash.BLOCKS:
+        center, bits = rng.getrandbits(64), rng.sample(list(block), 16)
+        while len([x for x in fps if (x ^ center).bit_count() <= 16]) < 900:
+            fps.add(center ^ sum(1 << b for b in rng.sample(bits, rng.randint(0, 10))))
+    fps = sorted(fps)
+    rows = spark.createDataFrame([(i, simhash._signed(x)) for i, x in enumerate(fps)], "doc_id long, fp long")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_groups(rows).collect()}
+    label = connected(fps)
+    least = {c: int(np.flatnonzero(label == c)[0]) for c in set(label.tolist())}
+    assert len(least) > 3 and [got[i] for i in range(len(fps))] == [least[c] for c in label.tolist()]
+
+
+def test_near_documents_link_what_is_alike_and_nothing_else(spark, monkeypatch):
+    """Copies, near copies of a chain, blocks of a hot key, odd texts; any size of block gives the same classes."""
+    ship(spark)
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    base = [[rng.choice(vocabulary) for _ in range(rng.randint(150, 400))] for _ in range(12)]
+    texts, family = [], []
+    for k, b in enumerate(base):
+        for _ in range(6):
+            c = list(b)
+            for at in rng.sample(range(len(c)), len(c) // 150):
+                c[at] = rng.choice(vocabulary)
+            texts.append(" ".join(c) if rng.random() < 0.7 else "\n".join(c).upper())
+            family.append(k)
+    texts += [None, "", " \t", "word", "WORD", "two words", texts[0], texts[0]]
+    family += [100, 100, 100, 101, 101, 102, 0, 0]
+    docs = frame(spark, enumerate(texts))
+    for block in (simhash.BLOCK, 2):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        got = {r["doc_id"]: r["component"] for r in simhash.near_documents(docs).collect()}
+        of = {}
+        for i, k in enumerate(family):
+            of.setdefault(k, set()).add(got[i])
+        assert len(got) == len(texts) and all(len(v) == 1 for v in of.values())
+        assert len({next(iter(v)) for v in of.values()}) == len(of)
+    assert simhash.near_documents(docs.limit(0)).count() == 0
+
+
+def test_groups_are_connected_as_by_all_pairs():
+    rng = np.random.default_rng(3)
+    centers = rng.integers(0, 1 << 63, size=(5, 4), dtype=np.uint64)
+    rows = []
+    for c in centers:
+        for _ in range(40):
+            x = c.copy()
+            for b in rng.integers(0, 256, size=rng.integers(0, 40)):
+                x[b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+            rows.append(x)
+    bits, nodes = np.array(rows)[rng.permutation(200)], np.arange(200) * 7
+    near = np.bitwise_count(bits[:, None] ^ bits[None]).sum(2) <= simhash.DIFFER
+    reach = near
+    for _ in range(8):
+        reach = (reach.astype(int) @ reach.astype(int)) > 0
+    got = simhash.near_in(nodes, bits)
+    assert all((got == got[i]).tolist() == reach[i].tolist() for i in range(200))
