@@ -32,6 +32,13 @@ def irregular(df: DataFrame, keys: list[str], ts: str, unit: int = 60) -> DataFr
     return g.groupBy(*keys).agg(F.mode("gap", True).alias("gap"), (F.min("gap") != F.max("gap")).alias("irregular"))
 
 
+def tally(df: DataFrame, keys: list[str], counts: dict[str, Column], any_of: dict[str, Column], all_of: dict[str, Column]) -> DataFrame:
+    """One row a key: how many rows meet a condition, whether any does, whether all do. A null condition is not met when it
+    is counted and says nothing for any and all."""
+    found = [F.count_if(c).alias(n) for n, c in counts.items()]
+    return df.groupBy(*keys).agg(*found, *[F.bool_or(c).alias(n) for n, c in any_of.items()], *[F.every(c).alias(n) for n, c in all_of.items()])
+
+
 def availability(probes: DataFrame, zone: str = "zone", date: str = "date", hit: str = "has_data", error: str = "status") -> DataFrame:
     """One row a zone: hits, misses, errors by kind, dates with data, first and last and their years (null without hits).
 

@@ -52,6 +52,11 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def distinct_union(name: str, *columns: tuple[DataFrame, str]) -> DataFrame:
+    """The values of several columns as one column, each once; null is a value too."""
+    return reduce(DataFrame.unionAll, [df.select(F.col(f"`{c}`").alias(name)).distinct() for df, c in columns]).distinct()
+
+
 def differs(c: Column, value) -> Column:
     """Not equal, true for null."""
     return ~c.eqNullSafe(F.lit(value))

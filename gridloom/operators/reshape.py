@@ -81,3 +81,9 @@ def reorder(df: DataFrame, expected: list[str]) -> DataFrame:
 def by_position(rows: DataFrame, column: str, names: list[str], keep: list[str] | None = None) -> DataFrame:
     """Arrays of strings to named columns."""
     return rows.select(*(keep or []), *[F.get(F.col(column), F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
+def json_fields(df: DataFrame, column: str, fields: dict[str, str], default: str | None = None) -> DataFrame:
+    """Adds a text column for each field of JSON documents, by its path; the default where a document lacks it."""
+    get = lambda path: F.get_json_object(column, path) if default is None else F.coalesce(F.get_json_object(column, path), F.lit(default))
+    return df.withColumns({name: get(path) for name, path in fields.items()})

@@ -245,7 +245,7 @@ def set_difference_units(spark, d):
 
 @query("SELECT DISTINCT p_brand AS code FROM part UNION SELECT DISTINCT c_mktsegment FROM customer")
 def set_union_codes(spark, d):
-    return t(spark, d, "part").select(F.col("p_brand").alias("code")).union(t(spark, d, "customer").select("c_mktsegment")).distinct()
+    return relational.distinct_union("code", (t(spark, d, "part"), "p_brand"), (t(spark, d, "customer"), "c_mktsegment"))
 
 
 @query("SELECT c_custkey, ntile((SELECT ceil(count(*) / 400)::BIGINT FROM customer)) OVER (ORDER BY c_custkey) AS batch FROM customer")
@@ -290,7 +290,7 @@ def explode_records(spark, d):
 
 @query("SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS k FROM events")
 def json_field_flatten(spark, d):
-    return t(spark, d, "events").select("event_id", F.coalesce(F.get_json_object("props", "$.k"), F.lit("")).alias("k"))
+    return reshape.json_fields(t(spark, d, "events").select("event_id", "props"), "props", {"k": "$.k"}, "").drop("props")
 
 
 @query("SELECT vec_id, unnest(range(8))::BIGINT AS epoch, unnest(embedding[9:16])::DOUBLE AS value FROM embeddings")
@@ -316,7 +316,8 @@ def completeness_count(spark, d):
 
 @query("""SELECT user_id, count(*) FILTER (value > 50) AS with_data, bool_or(value < 1) AS any_low, bool_and(value >= 0) AS all_sound FROM events GROUP BY 1""")
 def any_all_counts(spark, d):
-    return t(spark, d, "events").groupBy("user_id").agg(F.count_if(F.col("value") > 50).alias("with_data"), F.bool_or(F.col("value") < 1).alias("any_low"), F.every(F.col("value") >= 0).alias("all_sound"))
+    v = F.col("value")
+    return quality.tally(t(spark, d, "events"), ["user_id"], {"with_data": v > 50}, {"any_low": v < 1}, {"all_sound": v >= 0})
 
 
 @query("""SELECT page_id, nullif(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), '') AS site, list_sort(list_distinct(regexp_extract_all(html, 'href="/([A-Za-z]+)"', 1)))::VARCHAR AS links FROM pages""")
@@ -352,11 +353,6 @@ def source_routing(spark, d):
     return t(spark, d, "orders").select("o_orderkey", tasks.route("adme", moved).alias("route"))
 
 
-@query("SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, count(*) AS n FROM lineitem GROUP BY ALL")
-def sum_by_flag(spark, d):
-    return t(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("sum_qty"), F.count("*").alias("n"))
-
-
 @query("""SELECT strftime(g, '%Y') AS year, strftime(g, '%m') AS month, k AS level_type FROM unnest(generate_series(TIMESTAMP '2023-01-01', TIMESTAMP '2024-05-31', INTERVAL 1 MONTH)) AS s(g), (VALUES ('single'), ('pressure'), ('model')) AS l(k)""")
 def weather_plan(spark, d):
     return weather.era5_plan(spark, [2023, 2024], dt.date(2024, 6, 1), ["1000"], ["137"])

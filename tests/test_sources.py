@@ -419,3 +419,74 @@ def test_snapshots(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
     raw = snapshots.rows_of(spark.read.schema(snapshots.DOCUMENT).option("multiLine", True).json(str(source)))
     assert snapshots.misfits(raw).count() == 2
+
+
+# what the queries do not reach
+
+
+def test_tally_union_and_fields_with_nulls(spark):
+    from gridloom.operators import quality, relational, reshape
+
+    df = spark.createDataFrame([(1, 5.0, '{"k": 1}'), (1, None, "{}"), (2, None, None), (3, 1.0, "no json")], "k long, v double, j string")
+    got = {r["k"]: tuple(r)[1:] for r in quality.tally(df, ["k"], {"n": F.col("v") > 2}, {"any": F.col("v") > 2}, {"all": F.col("v") > 2}).collect()}
+    assert got == {1: (1, True, True), 2: (0, None, None), 3: (0, False, False)}
+    assert sorted(values(relational.distinct_union("x", (df, "k"), (df, "k")), "x")) == [(1,), (2,), (3,)]
+    assert [r["f"] for r in reshape.json_fields(df, "j", {"f": "$.k"}, "-").collect()] == ["1", "-", "-", "-"]
+
+
+def test_lookups_of_files_name_what_is_odd(spark):
+    from gridloom.plans import tasks
+
+    row = "temporal_resolution string, position int, kind string, id string, name string"
+    good = [("1h", 1, "file", "a", "x 2020-01 to 2020-03.zip"), ("1h", 2, "file", "b", "x 2020-02.zip"), ("1h", 3, "folder", "c", "2020-02"), ("5min", 1, "file", "d", "x 2020-02.zip")]
+    got = {(r["temporal_resolution"], r["date"]): r["id"] for r in tasks.file_lookup(spark.createDataFrame(good, row)).collect()}
+    assert got == {("1h", "2020-01"): "a", ("1h", "2020-02"): "b", ("1h", "2020-03"): "a", ("5min", "2020-02"): "d"}
+    for name in ("none.zip", "2020-01 2020-02 2020-03.zip"):
+        with pytest.raises(Exception, match="no month or too many"):
+            tasks.file_lookup(spark.createDataFrame([("1h", 1, "file", "a", name)], row)).collect()
+
+
+def test_bulk_lookups_and_pages_with_a_fallback(spark):
+    ids = spark.createDataFrame([(i,) for i in [*range(25), 3, None]], "id long")
+    got = readers.fetch_batches(ids, "id", 10, lambda some: [(len(some), i) for i in some], "n long,id long").collect()
+    assert sorted(r["id"] for r in got) == list(range(25)) and sorted({r["n"] for r in got}) == [8, 9]
+    pages = spark.createDataFrame([('<a href="T/">T/</a><a href="U_10M/">',), ("<a href='../'>",), (None,)], "html string")
+    assert [r[0] for r in pages.select(readers.variables_in_page(F.col("html"), ["B", "A"])).collect()] == [["T", "U_10M"], ["A", "B"], ["A", "B"]]
+
+
+def test_trailing_delimiters_are_dropped(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,x,\n2,y,\n")
+    assert [tuple(r) for r in readers.load(spark, f"{tmp_path}/x.csv", schema="a int, b string").collect()] == [(1, "x"), (2, "y")]
+
+
+def test_series_of_no_known_step_are_an_error(spark, tmp_path):
+    import datetime as dt
+
+    rows = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, h)) for h in (0, 7, 14)], "k string, time timestamp_ntz")
+    with pytest.raises(Exception, match="no resolution of 25200"):
+        sinks.save_by_step(rows, ["k"], "time", f"{tmp_path}/out")
+
+
+def test_sources_register_and_skip_what_is_settled(spark, tmp_path):
+    from gridloom.plans import tasks
+    from gridloom.sources import protocol
+
+    asked = []
+
+    class Toy(protocol.Source):
+        name, columns = "toy", ["v"]
+
+        def plan(self, spark):
+            return tasks.with_identity(spark.createDataFrame([("2023-01-01", "1h"), ("2024-01-01", "1h"), ("2024-01-02", "1h")], "date string, temporal_resolution string"))
+
+        def read(self, spark, open_tasks):
+            asked.append(sorted(r["date"] for r in open_tasks.collect()))
+            return open_tasks.filter("date = '2024-01-01'").select("identifier", F.lit(1).alias("v"))
+
+    assert protocol.source("toy") is Toy
+    with pytest.raises(RequestError):
+        protocol.source("nothing")
+    for _ in range(2):
+        state = protocol.run(spark, Toy(), f"{tmp_path}/out", f"{tmp_path}/state", 2024)
+    assert asked == [["2023-01-01", "2024-01-01", "2024-01-02"], ["2024-01-02"]]  # of this year, and without rows: again
+    assert {r["identifier"][5:15]: r["status"] for r in state.collect()} == {"2023-01-01": 1, "2024-01-01": 1, "2024-01-02": 0}
