@@ -121,8 +121,8 @@ def probe_dates(spark: SparkSession, zones: DataFrame, years: list[int], per_yea
     if per_year not in (1, 2, 3):
         raise RequestError("one, two or three days a year")
     days = {1: ["12-15"], 2: ["03-15", "09-15"], 3: ["01-15", "06-15", "12-15"]}[per_year]  # fixed values
-    dates = spark.createDataFrame([(f"{y}-{d}",) for y in years for d in days], "date string")
-    return zones.select("zone").crossJoin(dates)
+    dates = F.array(*[F.lit(f"{y}-{d}") for y in years for d in days]).cast("array<string>")
+    return zones.select("zone", F.explode(dates).alias("date"))
 
 
 def day_windows(plan: DataFrame, zones: DataFrame) -> DataFrame:

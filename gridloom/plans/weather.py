@@ -20,8 +20,9 @@ def months(spark: SparkSession, years: list[int], today: dt.date, first: int) ->
     return m.select(F.substring("date", 1, 4).alias("year"), F.substring("date", 6, 2).alias("month"))
 
 
-def _values(spark: SparkSession, name: str, values: list) -> DataFrame:
-    return spark.createDataFrame([(str(v),) for v in values], f"{name} string")
+def _each(df: DataFrame, name: str, values: list) -> DataFrame:
+    """Each row with each of the values; none without any."""
+    return df.withColumn(name, F.explode(F.array(*[F.lit(str(v)) for v in values]).cast("array<string>")))
 
 
 def default_levels(pressure: list | None, model: list | None) -> tuple[list | None, list | None]:
@@ -37,20 +38,20 @@ def default_levels(pressure: list | None, model: list | None) -> tuple[list | No
 def era5_plan(spark: SparkSession, years: list[int], today: dt.date, pressure: list | None = None, model: list | None = None, first: int = 1940) -> DataFrame:
     pressure, model = default_levels(pressure, model)
     kinds = ["single", *(["pressure"] if pressure else []), *(["model"] if model else [])]
-    return months(spark, years, today, first).crossJoin(_values(spark, "level_type", kinds)).select("year", "month", "level_type")
+    return _each(months(spark, years, today, first), "level_type", kinds)
 
 
 def barra_plan(spark: SparkSession, years: list[int], today: dt.date, single: list[str], pressure: list[str], levels: list[int], invariant: list[str], model: str) -> DataFrame:
     """Invariant fields once, then single-level, then pressure-level tasks; ``ord`` gives that order."""
     m = months(spark, years, today, tables.BARRA_MODELS[model][3])
-    fixed = _values(spark, "variable", invariant).select(F.lit(0).alias("ord"), F.lit("fx").alias("year"), F.lit("fx").alias("month"), "variable", F.lit("").alias("level"))
-    flat = m.crossJoin(_values(spark, "variable", single)).select(F.lit(1).alias("ord"), "year", "month", "variable", F.lit("").alias("level"))
-    deep = m.crossJoin(_values(spark, "variable", pressure)).crossJoin(_values(spark, "level", levels)).select(F.lit(2).alias("ord"), "year", "month", "variable", "level")
+    fixed = _each(spark.range(1), "variable", invariant).select(F.lit(0).alias("ord"), F.lit("fx").alias("year"), F.lit("fx").alias("month"), "variable", F.lit("").alias("level"))
+    flat = _each(m, "variable", single).select(F.lit(1).alias("ord"), "year", "month", "variable", F.lit("").alias("level"))
+    deep = _each(_each(m, "variable", pressure), "level", levels).select(F.lit(2).alias("ord"), "year", "month", "variable", "level")
     return fixed.unionByName(flat).unionByName(deep)
 
 
 def icon_plan(spark: SparkSession, years: list[int], today: dt.date, variables: list[str], first: int = 2010) -> DataFrame:
-    return months(spark, years, today, first).crossJoin(_values(spark, "variable", variables)).select("year", "month", "variable")
+    return _each(months(spark, years, today, first), "variable", variables)
 
 
 def short_codes(df: DataFrame, catalogue: DataFrame) -> DataFrame:

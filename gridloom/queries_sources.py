@@ -304,9 +304,9 @@ def members_that_are_missing(spark, d):
     return spark.createDataFrame([(f,) for f in flags], "member string")
 
 
-@query("SELECT min(c_custkey) AS a, max(c_custkey) AS z, count(*) AS n FROM customer GROUP BY (c_custkey - 1) * (SELECT ceil(count(*) / 400) FROM customer)::BIGINT // (SELECT count(*) FROM customer)")
+@query("""SELECT min(c_custkey) AS a, max(c_custkey) AS z, count(*) AS n FROM (SELECT c_custkey, ntile((SELECT ceil(count(*) / 400)::BIGINT FROM customer)) OVER (ORDER BY c_custkey) AS b FROM customer) GROUP BY b""")
 def bulk_lookup(spark, d):
-    """One call for each near-equal batch of ids; what comes back is counted. (The SQL's batches are equal for this table.)"""
+    """One call for each near-equal batch of ids; what comes back is counted."""
     rows = readers.fetch_batches(t(spark, d, "customer").select("c_custkey"), "c_custkey", 400, lambda ids: [(ids[0], ids[-1], len(ids))], "a long,z long,n long")
     return rows
 
