@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import io
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import config
 from .catalog import tables
 from .functions import text
 from .functions import time as tf
-from .operators import contracts, relational, reshape
+from .operators import contracts, quality, relational, reshape
 from .plans import tasks, weather
 from .queries import query, t
 from .sources import protocol, providers, readers, sinks
@@ -584,3 +587,175 @@ def source_run(spark, d):
     state = protocol.run(spark, one, f"{to}/out", f"{to}/state", 1996)
     n = spark.read.schema("key long, identifier string").parquet(f"{to}/out").groupBy("identifier").agg(F.count("*").alias("n"))
     return state.join(n, "identifier", "left").select("identifier", F.col("status").cast("long").alias("status"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+
+
+# Files that Spark has no writer for: made from the nations, a table of fixed size
+
+
+def _put(spark: SparkSession, path: str, data: bytes) -> None:
+    """Writes a file through Spark's file systems, so that the folder may be a remote one."""
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = to.getFileSystem(spark._jsc.hadoopConfiguration()).create(to, True)
+    out.write(bytearray(data))
+    out.close()
+
+
+def _zip(members: dict[str, str]) -> bytes:
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, content in members.items():
+            z.writestr(name, content)
+    return raw.getvalue()
+
+
+def _nations(spark, d) -> list:
+    return t(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey").orderBy("n_nationkey").collect()
+
+
+@query("SELECT n_nationkey::BIGINT AS key, n_name AS name FROM nation")
+def zipped_csv(spark, d):
+    """An archive a region, each with one CSV."""
+    to, rows = scratch(spark), _nations(spark, d)
+    for region in sorted({r["n_regionkey"] for r in rows}):
+        lines = [f"{r['n_nationkey']},{r['n_name']}" for r in rows if r["n_regionkey"] == region]
+        _put(spark, f"{to}/{region}.zip", _zip({f"{region}.CSV": "\r\n".join(["key,name", *lines, ""])}))
+    return readers.zip_csv(spark, to, "key long, name string")
+
+
+def _book(sheets: dict[str, dict[int, list]]) -> bytes:
+    """The least of a workbook: rows by number, every cell as text in place."""
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    cell = lambda at, v: f'<c r="{at}" t="inlineStr"><is><t>{v}</t></is></c>'
+    row = lambda n, cells: f'<row r="{n}">' + "".join(cell(f"{chr(65 + i)}{n}", v) for i, v in enumerate(cells) if v is not None) + "</row>"
+    members = {f"xl/worksheets/s{i}.xml": f"<worksheet {main}><sheetData>{''.join(row(n, c) for n, c in rows.items())}</sheetData></worksheet>" for i, rows in enumerate(sheets.values(), 1)}
+    listed = "".join(f'<sheet name="{name}" sheetId="{i}" r:id="r{i}"/>' for i, name in enumerate(sheets, 1))
+    links = "".join(f'<Relationship Id="r{i}" Target="worksheets/s{i}.xml"/>' for i in range(1, len(sheets) + 1))
+    members |= {"xl/workbook.xml": f"<workbook {main} {rel}><sheets>{listed}</sheets></workbook>", "xl/_rels/workbook.xml.rels": f"<Relationships>{links}</Relationships>"}
+    return _zip(members)
+
+
+@query("""SELECT n_nationkey::VARCHAR AS key, CASE WHEN n_nationkey % 2 = 0 THEN n_name END AS name FROM nation""")
+def workbook_sheet(spark, d):
+    """The first sheet of a list that exists, its header in the fourth row, columns before the one named like the sheet."""
+    rows = {n: [r["n_nationkey"], r["n_name"] if r["n_nationkey"] % 2 == 0 else None, 0, "x"] for n, r in enumerate(_nations(spark, d), 5)}
+    to = f"{scratch(spark)}/book.xlsx"
+    _put(spark, to, _book({"Other": {1: ["key"], 2: [1]}, "Units": {1: ["a title"], 4: ["key", "name", "Units", "more"]} | rows}))
+    return readers.load(spark, to, sheets=["Absent", "Units"], header=3, until="Units")
+
+
+@query("SELECT 'first' AS sheet, n_nationkey::BIGINT AS row, n_name AS cell FROM nation UNION ALL SELECT 'second', 0, 'end'")
+def workbook_cells(spark, d):
+    to = f"{scratch(spark)}/book.xlsx"
+    _put(spark, to, _book({"first": {n: [r["n_name"]] for n, r in enumerate(_nations(spark, d), 1)}, "second": {1: ["end"]}}))
+    return readers.sheet_cells(spark, to).select("sheet", F.col("row").cast("long").alias("row"), F.get("cells", F.lit(0)).alias("cell"))
+
+
+@query("SELECT n_nationkey::BIGINT AS key, n_name AS name FROM nation")
+def json_documents(spark, d):
+    """A document a region, over several lines."""
+    to = scratch(spark)
+    docs = t(spark, d, "nation").groupBy("n_regionkey").agg(F.to_json(F.collect_list(F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))), {"pretty": "true"}).alias("value"))
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(to)
+    return readers.load(spark, to, "json", "key long, name string")
+
+
+@query("SELECT n_regionkey::BIGINT AS region, n_nationkey::BIGINT AS key, n_name AS name FROM nation")
+def paged_rows(spark, d):
+    """A partition a region; pages of more than two rows are refused, so the size is halved twice and the key read anew."""
+    rows: dict[int, list] = {}
+    for r in _nations(spark, d):
+        rows.setdefault(r["n_regionkey"], []).append((r["n_regionkey"], r["n_nationkey"], r["n_name"]))
+
+    def fetch(key, offset, size):
+        if size > 2:
+            raise ConnectionError("page too large")
+        return rows[key][offset : offset + size], len(rows[key])
+
+    return readers.paged(spark, fetch, sorted(rows), "region long, key long, name string", size=8, halvings=2)
+
+
+# Contracts, catalogues and rules
+
+
+@query("SELECT c_name, c_custkey FROM customer")
+def projected_columns(spark, d):
+    return contracts.project(t(spark, d, "customer"), ["c_name", "c_custkey"])
+
+
+@query("SELECT o_orderkey FROM orders WHERE year(o_orderdate) = 1996 AND month(o_orderdate) = 2")
+def required_rows(spark, d):
+    return contracts.require_rows(t(spark, d, "orders").filter(tf.in_month(F.col("o_orderdate"), 1996, 2))).select("o_orderkey")
+
+
+@query("SELECT user_id, epoch_us(ts) / 1e6 - lag(epoch_us(ts) / 1e6) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events")
+def step_seconds(spark, d):
+    return quality.gaps(t(spark, d, "events"), ["user_id"], "ts").select("user_id", "gap")
+
+
+@query("SELECT p_partkey, p_size BETWEEN 10 AND 29 AS ok FROM part")
+def resolution_forms(spark, d):
+    size = F.col("p_size").cast("string")
+    raw = F.when(F.col("p_size") < 10, F.concat(size, F.lit("m"))).when(F.col("p_size") < 20, F.concat(size, F.lit("min"))).when(F.col("p_size") < 30, F.concat(size, F.lit("h")))
+    return t(spark, d, "part").select("p_partkey", tf.valid_resolution(raw).alias("ok"))
+
+
+@query("""SELECT 'date=' || strftime(o_orderdate, '%Y-%m-%d') || '|temporal_resolution=30min' AS identifier, list_aggregate([lpad(h::VARCHAR, 2, '0') || ':00' FOR h IN range(24)], 'string_agg', '/') AS hours,
+  list_aggregate([lpad(i::VARCHAR, 2, '0') FOR i IN range(1, day(last_day(o_orderdate)) + 1)], 'string_agg', '/') AS days FROM orders""")
+def requested_hours(spark, d):
+    plan = tasks.with_identity(t(spark, d, "orders").select("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit("30min").alias("temporal_resolution")))
+    return tasks.valid(plan).select("identifier", F.array_join(tf.hours_of_day(), "/").alias("hours"), F.array_join(tf.days_of_month(F.col("o_orderdate")), "/").alias("days"))
+
+
+@query("SELECT p_partkey::VARCHAR AS variable, p_brand AS code FROM part WHERE p_type = 'PROMO' OR p_size % 2 = 0")
+def catalogue_of_model(spark, d):
+    """A catalogue file, with the models that have each variable; the variables of one model."""
+    to = scratch(spark)
+    models = F.concat_ws(" ", "p_type", F.when(F.col("p_size") % 2 == 0, "PROMO"))
+    rows = t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("variable"), F.col("p_brand").alias("code"), F.lit("single").alias("level_type"), models.alias("models"))
+    sinks.save(rows, to, "csv", [])
+    return tables.for_model(tables.variables_from_csv(spark, to), "PROMO").select("variable", "code")
+
+
+@query("SELECT * FROM (VALUES ('R2', 73, 6, 10), ('C2', 111, 7, 14)) AS v(model, single, pressure, levels)")
+def regional_catalogue(spark, d):
+    def one(model):
+        kinds = tables.for_model(tables.barra_variables(spark), model)
+        levels = tables.for_model(tables.barra_levels(spark), model).agg(F.count("*").alias("levels"))
+        found = kinds.agg(F.count_if(F.col("level_type") == "single").alias("single"), F.count_if(F.col("level_type") == "pressure").alias("pressure"))
+        return found.crossJoin(levels).select(F.lit(model).alias("model"), "single", "pressure", "levels")  # two rows of sums
+
+    return one("R2").unionByName(one("C2"))
+
+
+@query("SELECT n_name AS zone FROM nation WHERE n_nationkey IN (2, 5)")
+def validated_names(spark, d):
+    names = tables.validate(["NATION_5", "NATION_2"], t(spark, d, "nation"), "n_name", "zones")
+    return spark.createDataFrame([(n,) for n in names], "zone string")
+
+
+@query("""SELECT * FROM (VALUES ('none given', true, false), ('empty pressure', true, false), ('empty model', false, true), ('both', true, true)) AS v(given, pressure, model)""")
+def level_defaults(spark, d):
+    """Which kinds of levels a request has, by what was given."""
+    given = {"none given": (None, None), "empty pressure": ([], None), "empty model": (None, []), "both": ([1000], [137])}
+    rows = [(name, *(levels is not None for levels in weather.default_levels(*pair))) for name, pair in given.items()]
+    return spark.createDataFrame(rows, "given string, pressure boolean, model boolean")
+
+
+@query("SELECT * FROM (VALUES ('defaults', 'tas,pr,orog,sftlf'), ('chosen', 'ta,orog,sftlf'), ('chosen twice', 'orog,ta,sftlf')) AS v(given, names)")
+def variable_rules(spark, d):
+    """The names given, or the defaults that a model has, then the invariant fields; each once."""
+    given = {"defaults": None, "chosen": ["ta"], "chosen twice": ["orog", "ta", "ta"]}
+    rows = [(name, ",".join(weather.barra_variables(chosen, ["tas", "absent", "pr"], ["pr", "tas"], ["orog", "sftlf"]))) for name, chosen in given.items()]
+    return spark.createDataFrame(rows, "given string, names string")
+
+
+@query("""SELECT * FROM (VALUES ('a.x', '1'), ('a.y', 'two'), ('a.z.deep', 'v=w'), ('b', NULL)) AS v(name, value)""")
+def merged_settings(spark, d):
+    """Settings of a file with dotted overrides merged in; the word none is null."""
+    merged = config.merge(config.none_to_null({"a": {"x": "1", "y": "2"}, "b": "None"}), config.parse_pairs(["a.y=two", "a.z.deep=v=w"]))
+
+    def flat(at: dict, lead: str = "") -> list[tuple]:
+        return [row for k, v in at.items() for row in (flat(v, f"{lead}{k}.") if isinstance(v, dict) else [(lead + k, v)])]
+
+    return spark.createDataFrame(flat(merged), "name string, value string")
