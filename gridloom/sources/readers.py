@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..errors import ContractError, RequestError
+from ..workers import ship
 
 
 def load(spark: SparkSession, path: str, kind: str | None = None, schema: str | None = None, **options) -> DataFrame:
@@ -71,6 +72,7 @@ def zip_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
                         while part := text.readlines(1 << 20):
                             yield pd.DataFrame({"line": [x.rstrip("\r\n") for x in part]})
 
+    ship(spark)
     raw = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(lines, "line string")
     return raw.filter("trim(line) <> ''").select(F.from_csv("line", schema).alias("r")).select("r.*")
 
@@ -120,6 +122,7 @@ def sheet_cells(spark: SparkSession, path: str) -> DataFrame:
                 for name, rows in _sheets(content).items():
                     yield pd.DataFrame({"path": p, "sheet": name, "row": range(len(rows)), "cells": rows})
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, sheet string, row int, cells array<string>")
 
 
@@ -167,6 +170,7 @@ def fetch_batches(ids: DataFrame, column: str, size: int, fetch: Callable, schem
         names = [f.split()[0] for f in schema.split(",")]
         return pd.DataFrame(list(fetch(sorted(pdf[column].tolist()))), columns=names)
 
+    ship(ids.sparkSession)
     dealt = batches(ids.filter(F.col(column).isNotNull()).select(column).distinct(), column, size)
     return dealt.groupBy("batch").applyInPandas(run, schema)
 
@@ -238,5 +242,6 @@ def read_pages(fetch: Callable, key, size: int, halvings: int = 0) -> Iterator[t
 def paged(spark: SparkSession, fetch: Callable, keys: list, fields: str, size: int = 5000, halvings: int = 0) -> DataFrame:
     """A DataFrame over ``fetch``, which must be picklable; keys are read in parallel."""
     source = type("Paged", (PagedSource,), {"fetch": staticmethod(fetch), "keys": keys, "size": size, "halvings": halvings, "fields": fields})
+    ship(spark)
     spark.dataSource.register(source)
     return spark.read.format(source.name()).load()

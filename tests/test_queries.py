@@ -65,3 +65,22 @@ def test_entry_imports_without_the_llm_folder(tmp_path):
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
     assert said.returncode == 0, said.stderr
     assert said.stdout.split() == [str(len(QUERIES))] * 2
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
+def test_python_workers_get_the_package_when_only_the_driver_has_it(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print(*[e.queries()[q](spark, {DATA!r}).count() for q in ("paged_rows", "zipped_csv", "workbook_cells")])
+"""
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
+    assert said.returncode == 0, said.stderr[-2000:]
+    assert said.stdout.split() == ["25", "25", "26"]
