@@ -2,31 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import ship as ship
 
-_shipped: set[str] = set()
 _folders: dict[str, str] = {}
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once an application."""
-    sc = spark.sparkContext
-    if sc.applicationId not in _shipped:
-        _shipped.add(sc.applicationId)
-        root = Path(__file__).resolve().parents[1]
-        with tempfile.TemporaryDirectory() as d:
-            shutil.copytree(root, f"{d}/src/{root.name}", ignore=shutil.ignore_patterns("__pycache__"))
-            sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), root.name), "zip", f"{d}/src"))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
