@@ -176,10 +176,10 @@ def near_groups(prints: DataFrame) -> DataFrame:
 
 
 #: Near documents: words of a shingle; the similarity of shingle sets that links; bits that estimate it, and how many may
-#: differ (39 of 256 are expected at a similarity of 0.8; the rest is slack of one standard error).
-WORDS, SIMILARITY, BITS, DIFFER = 5, 0.8, 256, 44
+#: differ (78 of 512 are expected at a similarity of 0.8; the rest is slack of one standard error and a quarter).
+WORDS, SIMILARITY, BITS, DIFFER = 5, 0.8, 512, 88
 #: Fingerprints of 32 bits that find candidates, and the words of their shingles: an edit changes fewer short ones.
-TABLES, SHORT = 10, 2
+TABLES, SHORT = 16, 2
 #: Nodes of a key that are compared in one task; a key with more is cut into blocks, each pair of them a task.
 BLOCK = 20_000
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -304,11 +304,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, row_key, component`` of every row: rows share a component if chains of documents lead from one to the
-    other whose sets of five-word shingles have a similarity (Jaccard) of 0.8 or more, as far as 256 bits tell.
+    other whose sets of five-word shingles have a similarity (Jaccard) of 0.8 or more, as far as 512 bits tell.
 
     Several short fingerprints stand for one: at that similarity 64 bits differ in about ten, far beyond what a ball can
     hold, while 32 bits over pairs of words differ in about three. Every node, a class of rows with equal sketches, emits
-    the variants of each of its ten fingerprints within one bit (half of a radius of two); a shuffle on variants brings
+    the variants of each of its sixteen fingerprints within one bit (half of a radius of two); a shuffle on variants brings
     candidates together, and what collides is verified by its estimate bits. Null counts as empty; empty texts are near
     each other. Repeated rows share a node. No rows, no components.
     """

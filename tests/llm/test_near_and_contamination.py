@@ -211,12 +211,12 @@ def test_near_documents_link_what_is_alike_and_nothing_else(spark, monkeypatch):
 
 def test_groups_are_connected_as_by_all_pairs():
     rng = np.random.default_rng(3)
-    centers = rng.integers(0, 1 << 63, size=(5, 4), dtype=np.uint64)
+    centers = rng.integers(0, 1 << 63, size=(5, simhash.BITS // 64), dtype=np.uint64)
     rows = []
     for c in centers:
         for _ in range(40):
             x = c.copy()
-            for b in rng.integers(0, 256, size=rng.integers(0, 40)):
+            for b in rng.integers(0, simhash.BITS, size=rng.integers(0, simhash.BITS * 40 // 256)):
                 x[b // 64] ^= np.uint64(1) << np.uint64(b % 64)
             rows.append(x)
     bits, nodes = np.array(rows)[rng.permutation(200)], np.arange(200) * 7
@@ -224,5 +224,6 @@ def test_groups_are_connected_as_by_all_pairs():
     reach = near
     for _ in range(8):
         reach = (reach.astype(int) @ reach.astype(int)) > 0
+    assert (reach & ~near).any() and not reach.all()  # chains count, and groups stay apart
     got = simhash.near_in(nodes, bits)
     assert all((got == got[i]).tolist() == reach[i].tolist() for i in range(200))
