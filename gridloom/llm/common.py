@@ -8,11 +8,24 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..workers import ship as ship
+from .. import workers
+
+#: Bytes of a batch that a Python worker gets, about: Spark's 64 MB (or 10,000 rows) is held by the executor, by its
+#: buffers outside the heap and by the worker at once, for each task, and what is freed is not given back.
+BATCH = 4 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _folders: dict[str, str] = {}
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, and hold the batches that they get to BATCH bytes, unless the session
+    says how large these are."""
+    workers.ship(spark)
+    if spark.conf.get(_BATCHES, None) is None:
+        spark.conf.set(_BATCHES, f"{BATCH}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
