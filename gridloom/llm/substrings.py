@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, key_parts, stored
+from .common import fresh, held, key_parts, stored
 
 #: Units worked on at once; suffixes that a task merges at once; suffixes that a range holds, as estimated beforehand;
 #: sampled suffixes for each range.
@@ -336,11 +336,10 @@ def _sorted_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from rows_of(rows[:, some], repeats[some], lead[some], mixed[some], edge[some], part)
 
 
-def sort_suffixes(source: DataFrame, emit: Callable, rows: int, expected: int) -> DataFrame:
-    """``k1, k2, pos, repeats, open`` of the suffixes that ``emit`` makes of batches of source and that are not alone:
-    ``repeats`` if they come twice; ``open`` if something shares their core only, for those that are alone and one of
-    those that repeat. ``rows`` and ``expected`` are the sizes of source and of its suffixes, which set how many ranges
-    there are and how large a sample gives the splitters; results do not depend on these."""
+def sorted_ranges(source: DataFrame, emit: Callable, rows: int, expected: int) -> DataFrame:
+    """What each range finds of the suffixes that ``emit`` makes of batches of source. ``rows`` and ``expected`` are the
+    sizes of source and of its suffixes, which set how many ranges there are and how large a sample gives the splitters;
+    results do not depend on these."""
     spark = source.sparkSession
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-expected // RANGE))
     wanted = SAMPLED * ranges
@@ -351,13 +350,18 @@ def sort_suffixes(source: DataFrame, emit: Callable, rows: int, expected: int) -
     seen = np.unique(np.array([tuple(r) for r in some], np.int64).reshape(-1, 5), axis=0)
     splitters = seen[np.unique(np.linspace(0, len(seen), ranges + 1).astype(int)[1:-1])] if len(seen) >= ranges else seen
     dealt = source.mapInArrow(_dealt(emit, splitters), schema).repartitionById(len(splitters) + 1, F.col("part"))
-    found = stored(dealt.mapInArrow(_sorted_range, _SORTED))
+    return dealt.mapInArrow(_sorted_range, _SORTED)
+
+
+def sort_suffixes(source: DataFrame, emit: Callable, rows: int, expected: int) -> DataFrame:
+    """``k1, k2, pos, repeats, open`` of the suffixes that are not alone: ``repeats`` if they come twice; ``open`` if
+    something shares their core only, for those that are alone and one of those that repeat."""
+    found = held(sorted_ranges(source, emit, rows, expected))
     across = found.filter("edge").groupBy("t0", "t1", "t2").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a < b")
     across = across.select("t0", "t1", "t2", F.lit(True).alias("on"))  # one a boundary at most, so it may be broadcast
-    inside = found.filter("NOT edge").select("k1", "k2", "pos", "repeats", (F.col("lead") & F.col("mixed")).alias("open"))
-    ends = found.filter("edge").join(F.broadcast(across), ["t0", "t1", "t2"], "left")
-    ends = ends.select("k1", "k2", "pos", "repeats", (F.col("lead") & (F.col("mixed") | F.coalesce("on", F.lit(False)))).alias("open"))
-    return inside.unionByName(ends).filter("repeats OR open")
+    both = found.join(F.broadcast(across), ["t0", "t1", "t2"], "left")  # only edges have these tokens
+    both = both.select("k1", "k2", "pos", "repeats", (F.col("lead") & (F.col("mixed") | F.coalesce("on", F.lit(False)))).alias("open"))
+    return both.filter("repeats OR open")
 
 
 def _contexts(grain: Grain) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -406,8 +410,9 @@ def repeated_windows(keyed: DataFrame, grain: Grain, rows: int, size: int) -> li
     second = sort_suffixes(contexts, _each(piece_suffixes, grain, 2048), n, n * 4)
     listed = second.filter("open").withColumn("at", _first_window(F.col("pos"))).groupBy("k1", "k2", "at").agg(F.collect_list("pos").alias("pieces"))
     joined = contexts.withColumn("at", F.shiftright("pos", 29)).join(listed, ["k1", "k2", "at"]).select("k1", "k2", "pos", "text", "pieces")
-    last = sort_suffixes(joined, _each(window_suffixes, grain, 2048), n, n * grain.piece)
-    return [f.filter("repeats").select("k1", "k2", F.shiftright("pos", 29).alias("lo"), (F.shiftright("pos", 29) + F.shiftright("pos", 11).bitwiseAND(F.lit(511))).alias("hi")) for f in (first, second, last)]
+    last = sorted_ranges(joined, _each(window_suffixes, grain, 2048), n, n * grain.piece)
+    first, second, last = (f.filter("repeats").select("k1", "k2", F.shiftright("pos", 29).alias("lo"), (F.shiftright("pos", 29) + F.shiftright("pos", 11).bitwiseAND(F.lit(511))).alias("hi")) for f in (first, second, last))
+    return [first, second, held(last)]
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
